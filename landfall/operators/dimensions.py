@@ -15,6 +15,16 @@ from landfall.functions import codes, days
 from landfall.operators.upsert import assign_keys, insert_if_absent, next_key
 
 
+def code_counts(staging: DataFrame) -> DataFrame:
+    """Arrivals per batch day, country code and port code.
+
+    A batch this small stands in for the arrivals wherever only their codes
+    matter: for all builders but build_time, and for the reconciliation.
+    """
+    return (staging.groupBy("load_day", "country_code", "port_code")
+            .agg(F.count("*").alias("arrivals")))
+
+
 def seen_codes(staging: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Lookup rows whose code occurs in the batch, with the day it first did.
 
@@ -147,10 +157,13 @@ def build_demographics(ports: DataFrame, demographics: DataFrame, staging: DataF
 
 
 def distinct_days(staging: DataFrame) -> DataFrame:
-    """Arrival and departure day numbers; only a NULL departure is left out."""
-    arrived = staging.select(F.col("arrdate").alias("day"))
-    left = staging.where(F.col("depdate").isNotNull()).select(F.col("depdate").alias("day"))
-    return arrived.union(left).distinct()
+    """Arrival and departure day numbers; only a NULL departure is left out.
+
+    Both columns come from one scan, and each task drops repeats before the shuffle.
+    """
+    arrived, left = F.col("arrdate"), F.col("depdate")
+    pair = F.when(left.isNull(), F.array(arrived)).otherwise(F.array(arrived, left))
+    return staging.select(F.explode(pair).alias("day")).distinct()
 
 
 def build_time(staging: DataFrame, existing: DataFrame | None = None,

@@ -72,11 +72,14 @@ def check_reconciled(staging: DataFrame, countries: DataFrame, ports: DataFrame,
                  lambda difference: difference == 0, f"staging to fact, {day}")
 
 
-def reconciliation(staging: DataFrame, countries: DataFrame, ports: DataFrame,
+def reconciliation(codes: DataFrame, countries: DataFrame, ports: DataFrame,
                    fact: DataFrame, time: DataFrame) -> DataFrame:
-    """The same comparison for all days at once: load_day, staged, loaded, difference."""
-    staged = (_with_known_codes(staging, countries, ports)
-              .groupBy("load_day").agg(F.count("*").alias("staged")))
+    """The same comparison for all days at once: load_day, staged, loaded, difference.
+
+    `codes` are the code_counts of the staged arrivals.
+    """
+    staged = (_with_known_codes(codes, countries, ports)
+              .groupBy("load_day").agg(F.sum("arrivals").alias("staged")))
     dates = time.select(
         F.col("sas_timestamp").alias("arrdate"),
         F.make_date("year", "month", "day").alias("load_day"))
@@ -143,14 +146,31 @@ def check_lengths(df: DataFrame, limits: dict[str, int]) -> None:
         _check_empty(length_counts(df, limits).where("too_long > 0"), "text length")
 
 
-def check_table(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]) -> None:
-    """All constraints of a table: NOT NULL, lengths, unique and foreign keys."""
-    check_not_null(df, spec.not_null)
-    check_lengths(df, spec.lengths)
-    for keys in spec.unique:
-        check_unique(df, keys)
+def violation_counts(df: DataFrame, spec: TableSpec,
+                     parents: dict[str, DataFrame]) -> DataFrame:
+    """NOT NULL, length and foreign-key violations of a table, from one pass over
+    it: constraint_name, violations. Parents of a size to broadcast cost no shuffle."""
+    counts = {f"{c} not null": F.count_if(F.col(c).isNull()) for c in spec.not_null}
+    for name, limit in spec.lengths.items():
+        counts[f"{name} length"] = F.count_if(F.length(name) > limit)
+    joined = df
     for fk in spec.foreign_keys:
-        check_fk(df, fk.column, parents[fk.parent], fk.parent_column)
+        known = f"_{fk.column}_known"
+        joined = joined.join(
+            parents[fk.parent].select(F.col(fk.parent_column).alias(known)),
+            F.col(fk.column) == F.col(known), "left")
+        counts[f"{fk.column} in {fk.parent}"] = F.count_if(
+            F.col(fk.column).isNotNull() & F.col(known).isNull())
+    counted = joined.agg(*[count.alias(name) for name, count in counts.items()])
+    return counted.unpivot([], [F.col(f"`{n}`") for n in counts], "constraint_name", "violations")
+
+
+def check_table(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame],
+                unique: bool = True) -> None:
+    """All constraints of a table. Each unique key takes a shuffle of its columns."""
+    _check_empty(violation_counts(df, spec, parents).where("violations > 0"), spec.name)
+    for keys in spec.unique if unique else ():
+        check_unique(df, keys)
 
 
 # Reports on the input

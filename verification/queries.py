@@ -430,10 +430,10 @@ def load_day_counts(spark, sf):
         _country_temps(spark, sf), cfg.table("staging_country_temperatures"), truncate=True)
     jobs.load_range(spark, cfg, FIRST_DAY, LAST_DAY, allow_empty_days=True)
     tables = warehouse.tables_of(spark, database)
+    codes = dimensions.code_counts(readers.read_days(spark, cfg.lake, FIRST_DAY, LAST_DAY))
     return quality.reconciliation(
-        readers.read_days(spark, cfg.lake, FIRST_DAY, LAST_DAY), tables["dim_countries"],
-        tables["dim_ports"], tables["fact_immigration"], tables["dim_time"]
-    ).where("staged > 0 OR loaded > 0")
+        codes, tables["dim_countries"], tables["dim_ports"], tables["fact_immigration"],
+        tables["dim_time"])
 
 
 # Reports
