@@ -33,13 +33,15 @@ def stage_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = "
     """Delimited text with a header row and columns by position.
 
     As in a bulk COPY, a doubled quote stands for a quote, an empty field is NULL
-    and a malformed line fails the load. `multiline` admits line breaks inside
-    quotes, at the price of one task per file.
+    but a quoted empty one is not, and a malformed line fails the load. `multiline`
+    admits line breaks inside quotes, at the price of one task per file.
     """
     return (
         spark.read.schema(schema)
         .option("header", True).option("sep", sep)
         .option("quote", '"').option("escape", '"')
+        # Spark also takes "" for NULL as long as the NULL mark is empty text.
+        .option("nullValue", "\0").option("emptyValue", "")
         .option("multiLine", multiline).option("mode", "FAILFAST")
         .csv(path)
     )
