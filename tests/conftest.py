@@ -15,9 +15,9 @@ from landfall.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = local_session(
-        4, **{"spark.checkpoint.dir": str(shared),
+        8, **{"spark.checkpoint.dir": str(shared),
               "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
-              "spark.sql.shuffle.partitions": "4"})
+              "spark.sql.shuffle.partitions": "3"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
