@@ -37,6 +37,6 @@ def calendar_parts(date: Column) -> dict[str, Column]:
 
 def date_of_parts(year: Column, month: Column, day: Column) -> Column:
     """Date from its parts; NULL where they name no real day."""
-    text = F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string"))
-    complete = year.isNotNull() & month.isNotNull() & day.isNotNull()
-    return F.when(complete, text.try_cast("date"))
+    in_calendar = year.between(1, 9999) & month.between(1, 12)
+    month_end = F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
+    return F.when(in_calendar, F.when(day.between(1, month_end), F.make_date(year, month, day)))

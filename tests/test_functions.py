@@ -73,12 +73,15 @@ def test_calendar_parts(spark):
 
 def test_date_of_parts_is_null_for_no_real_day(spark):
     df = spark.createDataFrame(
-        [(2016, 2, 29), (2015, 2, 29), (2016, 13, 1), (2016, 1, None)], "y int, m int, d int")
+        [(2016, 2, 29), (2015, 2, 29), (2016, 13, 1), (2016, 4, 31), (2016, 1, 0),
+         (2000000000, 1, 1), (2016, 1, None), (None, 1, 1)], "y int, m int, d int")
     got = [r[0] for r in df.select(
         days.date_of_parts(F.col("y"), F.col("m"), F.col("d"))).collect()]
-    assert got == [datetime.date(2016, 2, 29), None, None, None]
+    assert got == [datetime.date(2016, 2, 29)] + [None] * 7
 
 
 def test_same_text_ignores_case_but_not_spaces(spark):
-    df = spark.createDataFrame([("New  York", "NEW  YORK"), ("New York", "NEW  YORK")], "a string, b string")
-    assert [r[0] for r in df.select(codes.same_text(F.col("a"), F.col("b"))).collect()] == [True, False]
+    df = spark.createDataFrame(
+        [("New  York", "NEW  YORK"), ("New York", "NEW  YORK")], "a string, b string")
+    got = [r[0] for r in df.select(codes.same_text(F.col("a"), F.col("b"))).collect()]
+    assert got == [True, False]
