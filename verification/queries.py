@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,7 +28,7 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _register(query: Query) -> Query:
-    _QUERIES[query.__name__] = query
+    _QUERIES[query.__name__.removesuffix("_query")] = query
     return query
 
 
@@ -71,31 +70,37 @@ def _countries(spark: SparkSession, sf: str, staging: DataFrame | None = None,
         _country_temps(spark, sf), **how)
 
 
-# Dimension tables as a load leaves them: stored, and kept for the session so
-# the reports share them. The arrivals are joined to them anew by each report.
-# Keyed by application, as a new session has its own folder.
+# Tables as a load leaves them: stored once per session and shared by the queries
+# that start from a loaded warehouse. The arrivals are joined anew by each query.
 
+_stored: dict[tuple[str, str, str], str] = {}
 
-@cache
-def _stored(app: str, sf: str, name: str) -> str:
-    spark = SparkSession.getActiveSession()
-    build = {
-        "dim_ports": lambda: _ports(spark, sf),
-        "dim_countries": lambda: _countries(spark, sf),
-        "dim_time": lambda: dimensions.build_time(_staging(spark, sf)),
-        "dim_airports": lambda: dimensions.build_airports(
-            spark_view(spark, sf, "airports"), _dim(spark, sf, "dim_ports")),
-        "dim_demographics": lambda: dimensions.build_demographics(
-            _dim(spark, sf, "dim_ports"), spark_view(spark, sf, "demographics"),
-            _staging(spark, sf)),
-    }[name]
-    path = new_path(spark, name)
-    build().write.parquet(path)
-    return path
+
+def _store(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _stored:
+        path = new_path(spark, name)
+        write(path)
+        _stored[key] = path
+    return _stored[key]
+
+
+def _build(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    if name == "dim_ports":
+        return _ports(spark, sf)
+    if name == "dim_countries":
+        return _countries(spark, sf)
+    if name == "dim_time":
+        return dimensions.build_time(_staging(spark, sf))
+    ports = _dim(spark, sf, "dim_ports")
+    if name == "dim_airports":
+        return dimensions.build_airports(spark_view(spark, sf, "airports"), ports)
+    return dimensions.build_demographics(
+        ports, spark_view(spark, sf, "demographics"), _staging(spark, sf))
 
 
 def _dim(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    path = _stored(spark.sparkContext.applicationId, sf, name)
+    path = _store(spark, sf, name, lambda to: _build(spark, sf, name).write.parquet(to))
     return spark.read.schema(schemas.TABLES[name].schema).parquet(path)
 
 
@@ -104,12 +109,9 @@ def _fact(spark: SparkSession, sf: str) -> DataFrame:
         _staging(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_ports"))
 
 
-@cache
-def _lake(app: str, sf: str) -> str:
-    spark = SparkSession.getActiveSession()
-    path = new_path(spark, "lake")
-    writers.write_lake(clean_arrivals(spark_view(spark, sf, "raw_arrivals")), path)
-    return path
+def _lake(spark: SparkSession, sf: str) -> str:
+    raw = spark_view(spark, sf, "raw_arrivals")
+    return _store(spark, sf, "lake", lambda to: writers.write_lake(clean_arrivals(raw), to))
 
 
 # Scans
@@ -132,8 +134,7 @@ def stage_ports_csv(spark, sf):
 
 @_register
 def day_partition_scan(spark, sf):
-    lake = _lake(spark.sparkContext.applicationId, sf)
-    return readers.read_day(spark, lake, DAY)
+    return readers.read_day(spark, _lake(spark, sf), DAY)
 
 
 # Projections and functions
@@ -237,7 +238,7 @@ def port_airports_join(spark, sf):
 
 @_register
 def fact_arrivals(spark, sf):
-    return _fact(spark, sf).withColumn("load_day", F.col("load_day").cast("date"))
+    return _fact(spark, sf)
 
 
 @_register
@@ -310,20 +311,17 @@ def dim_ports(spark, sf):
 
 @_register
 def dim_airports(spark, sf):
-    return dimensions.build_airports(
-        spark_view(spark, sf, "airports"), _dim(spark, sf, "dim_ports"))
+    return _build(spark, sf, "dim_airports")
 
 
 @_register
 def dim_demographics(spark, sf):
-    return dimensions.build_demographics(
-        _dim(spark, sf, "dim_ports"), spark_view(spark, sf, "demographics"),
-        _staging(spark, sf))
+    return _build(spark, sf, "dim_demographics")
 
 
 @_register
 def dim_time(spark, sf):
-    return dimensions.build_time(_staging(spark, sf))
+    return _build(spark, sf, "dim_time")
 
 
 # Quality
@@ -414,9 +412,8 @@ def unmatched_codes(spark, sf):
 def load_day_counts(spark, sf):
     """The range load of all days, from lake to warehouse tables, then the rows
     staged and loaded per batch day."""
-    app = spark.sparkContext.applicationId
     database = "landfall_check"
-    cfg = jobs.JobConfig(database=database, lake=_lake(app, sf),
+    cfg = jobs.JobConfig(database=database, lake=_lake(spark, sf),
                          warehouse_location=new_path(spark, "warehouse"))
     spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
     jobs.setup_job(spark, cfg)
@@ -484,5 +481,3 @@ def seasonality(spark, sf):
     return reports.seasonality(
         _fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_time"))
 
-
-_QUERIES["clean_arrivals"] = _QUERIES.pop("clean_arrivals_query")
