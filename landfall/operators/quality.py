@@ -177,10 +177,12 @@ def check_table(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame],
 
 
 def partition_mismatch(clean: DataFrame) -> DataFrame:
-    """Partitions whose date is not the arrival date, with the rows concerned."""
+    """Partitions whose date is not the arrival date, or that have no date and so
+    are never loaded, with the rows concerned."""
     dated = with_load_day(clean)
     return (
-        dated.where(~F.col("load_day").eqNullSafe(F.col("arrival_date")))
+        dated.where(F.col("load_day").isNull()
+                    | ~F.col("load_day").eqNullSafe(F.col("arrival_date")))
         .groupBy("year", "month", "arrival_day", "arrival_date")
         .agg(F.count("*").alias("rows"))
     )

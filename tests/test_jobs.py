@@ -1,5 +1,6 @@
 import dataclasses
 import datetime
+import json
 import uuid
 
 import pytest
@@ -9,7 +10,7 @@ from landfall import schemas
 from landfall.functions import days
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.quality import DataQualityError
-from landfall.plans import jobs, warehouse
+from landfall.plans import jobs, reports, warehouse
 from landfall.session import settle
 from landfall.sources import writers
 
@@ -163,6 +164,45 @@ def test_range_equals_backfill(spark, cfg):
     assert len(set(ids(spark, cfg))) == len(numbers)
 
 
+def test_reports_equal_sql_on_the_tables(spark, cfg):
+    jobs.load_range(spark, cfg, START, END)
+    t = warehouse.tables_of(spark, cfg.database)
+    fact, ports, countries = t["fact_immigration"], t["dim_ports"], t["dim_countries"]
+    spark.sql(f"USE {cfg.database}")
+    try:
+        joined = """FROM fact_immigration i JOIN dim_countries c ON i.country_id = c.country_id
+            JOIN dim_ports p ON i.port_id = p.port_id
+            JOIN dim_time t ON i.arrdate = t.sas_timestamp"""
+        pairs = [
+            (reports.top_countries(fact, countries, t["dim_time"], 2016, 1, k=2),
+             f"""SELECT c.country, COUNT(*) AS count {joined} WHERE t.year = 2016 AND t.month = 1
+                GROUP BY c.country ORDER BY count DESC, c.country LIMIT 2"""),
+            (reports.top_ports(fact, ports, t["dim_time"], 2016, 1, k=1),
+             f"""SELECT p.port_city, p.port_state, COUNT(*) AS count {joined}
+                WHERE t.year = 2016 AND t.month = 1 GROUP BY p.port_city, p.port_state
+                ORDER BY count DESC, p.port_city LIMIT 1"""),
+            (reports.arrivals_by_dow(fact, ports, t["dim_time"], 2016, 1),
+             f"SELECT t.day_of_week, COUNT(*) AS count {joined} GROUP BY t.day_of_week"),
+            (reports.port_country_counts(fact, ports, countries),
+             f"SELECT p.port_city, c.country, COUNT(*) AS arrivals {joined} GROUP BY ALL"),
+            (reports.seasonality(fact, ports, t["dim_time"]),
+             f"""SELECT p.port_state, t.month, COUNT(*) AS arrivals,
+                RANK() OVER (PARTITION BY p.port_state ORDER BY COUNT(*) DESC) AS month_rank
+                {joined} GROUP BY p.port_state, t.month"""),
+        ]
+        for report, text in pairs:
+            assert rows(report) == rows(spark.sql(text)) != []
+        # Four arrivals of day 1 and 2 in two ports; each race row shows the port's count.
+        by_origin = reports.demographics_by_origin(fact, ports, countries, t["dim_demographics"])
+        assert rows(by_origin, "port_code", "country", "race", "arrivals") == [
+            ("5KE", "INVALID: UNITED STATES", "White", 1), ("5KE", "NORWAY", "White", 1),
+            ("KET", "INVALID: UNITED STATES", "White", 1), ("KET", "MEXICO", "White", 1),
+            ("NYC", "MEXICO", "Asian", 2), ("NYC", "MEXICO", "White", 2),
+            ("NYC", "NORWAY", "Asian", 2), ("NYC", "NORWAY", "White", 2)]
+    finally:
+        spark.sql("USE default")
+
+
 def test_range_over_loaded_days_and_again(spark, cfg):
     jobs.load_day(spark, cfg, D(2016, 1, 2))
     jobs.load_range(spark, cfg, START, END)
@@ -234,3 +274,15 @@ def test_orphans_stop_the_load(spark, cfg):
     writers.append_to(orphan, cfg.table("dim_demographics"))
     with pytest.raises(DataQualityError, match="port_id in dim_ports"):
         jobs.load_day(spark, cfg, START)
+
+
+def test_command_line(spark, cfg, path):
+    from landfall.__main__ import main
+    config = path("config.json")
+    with open(config, "w") as out:
+        json.dump(dataclasses.asdict(cfg), out)
+    for arguments in (["extract"], ["setup"], ["load-day", "--day", "2016-01-01"],
+                      ["load-range", "--start", "2016-01-02", "--end", "2016-01-03"]):
+        main([arguments[0], "--config", config, *arguments[1:]])
+    assert rows(spark.table(cfg.table("fact_immigration")).groupBy("load_day").count()) == [
+        (START, 3), (D(2016, 1, 2), 2), (D(2016, 1, 3), 1)]

@@ -124,6 +124,10 @@ def test_partition_dates(staging):
     assert rows(quality.partition_mismatch(filed_later)) == [(2016, 2, 4, MONDAY, 1)]
     with pytest.raises(DataQualityError):
         quality.check_partition_dates(filed_later)
+    undated = good.select(*[
+        F.lit(None).cast(f.dataType).alias(f.name) if "arr" in f.name else F.col(f.name)
+        for f in good.schema])
+    assert rows(quality.partition_mismatch(undated)) == [(2016, 1, None, None, 1)]
 
 
 def test_unmatched_codes(spark, staging, star):

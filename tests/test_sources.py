@@ -120,6 +120,28 @@ def test_a_second_lake_write_replaces_its_days_only(spark, path):
     assert readers.read_lake(spark, lake).count() == 1
 
 
+def test_a_day_too_big_for_one_task_is_split(spark, path):
+    """One day holds nearly all rows; they end up in several files, none lost."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    number = float((D(2016, 1, 1) - days.EPOCH).days)
+    template = clean(spark, D(2016, 1, 1))
+    hot = spark.range(40000, numPartitions=8).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) if f.name != "port_code"
+          else F.sha2(F.col("id").cast("string"), 256).alias("port_code")
+          for f, v in zip(template.schema, template.first())])
+    lake = path("lake")
+    spark.conf.set(key, "200k")
+    try:
+        writers.write_lake(hot.union(clean(spark, D(2016, 1, 2))), lake)
+    finally:
+        spark.conf.unset(key)
+    files = glob.glob(f"{lake}/year=2016/month=1/arrival_day=1/*.parquet")
+    assert len(files) > 1
+    written = readers.read_lake(spark, lake)
+    assert written.where(F.col("arrdate") == number).count() == 40000
+    assert written.select("port_code").distinct().count() == 40001
+
+
 def test_filed_day_that_does_not_exist_belongs_to_no_range(spark, path):
     lake = path("lake")
     writers.write_lake(clean(spark, D(2016, 1, 31)).withColumn("month", F.lit(2)), lake)

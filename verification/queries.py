@@ -57,17 +57,15 @@ def _country_temps(spark: SparkSession, sf: str) -> DataFrame:
     return latest.latest_country_temps(spark_view(spark, sf, "country_temps"))
 
 
-def _ports(spark: SparkSession, sf: str, staging: DataFrame | None = None, **how) -> DataFrame:
+def _ports(spark: SparkSession, sf: str) -> DataFrame:
     return dimensions.build_ports(
-        staging or _staging(spark, sf), spark_view(spark, sf, "lookup_ports"),
-        _city_temps(spark, sf), **how)
+        _staging(spark, sf), spark_view(spark, sf, "lookup_ports"), _city_temps(spark, sf))
 
 
-def _countries(spark: SparkSession, sf: str, staging: DataFrame | None = None,
-               **how) -> DataFrame:
+def _countries(spark: SparkSession, sf: str) -> DataFrame:
     return dimensions.build_countries(
-        staging or _staging(spark, sf), spark_view(spark, sf, "lookup_countries"),
-        _country_temps(spark, sf), **how)
+        _staging(spark, sf), spark_view(spark, sf, "lookup_countries"),
+        _country_temps(spark, sf))
 
 
 # Tables as a load leaves them: stored once per session and shared by the queries
@@ -285,8 +283,9 @@ def distinct_days_union(spark, sf):
 
 def _countries_after_first_batch(spark, sf, in_batch):
     first, second = _batches(spark, sf)
-    existing = settle(_countries(spark, sf, first, in_batch=in_batch))
-    return _countries(spark, sf, second, existing=existing, in_batch=in_batch)
+    lookup, temps = spark_view(spark, sf, "lookup_countries"), _country_temps(spark, sf)
+    existing = settle(dimensions.build_countries(first, lookup, temps, in_batch=in_batch))
+    return dimensions.build_countries(second, lookup, temps, existing, in_batch)
 
 
 @_register
