@@ -167,10 +167,13 @@ def violation_counts(df: DataFrame, spec: TableSpec,
 
 def check_table(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame],
                 unique: bool = True) -> None:
-    """All constraints of a table. Each unique key takes a shuffle of its columns."""
-    _check_empty(violation_counts(df, spec, parents).where("violations > 0"), spec.name)
+    """All constraints of a table, in one job. Each unique key shuffles its columns."""
+    violations = violation_counts(df, spec, parents).where("violations > 0")
     for keys in spec.unique if unique else ():
-        check_unique(df, keys)
+        repeated = unique_violations(df, keys)
+        violations = violations.union(repeated.select(
+            F.lit(f"unique {', '.join(keys)}"), "occurrences"))
+    _check_empty(violations, spec.name)
 
 
 # Reports on the input

@@ -43,14 +43,17 @@ def csv(path, name, header, *lines):
     return target
 
 
-@pytest.fixture
-def cfg(spark, path):
-    """Inputs on disk, extracted to a lake; each test gets its own database."""
-    database = f"wh_{uuid.uuid4().hex[:8]}"
-    raw_dir = path("raw")
-    raw(spark, ARRIVALS).write.parquet(raw_dir)
+@pytest.fixture(scope="module")
+def extracted(spark, tmp_path_factory):
+    """Inputs on disk and the lake and extracts made of them."""
+    folder = tmp_path_factory.mktemp("jobs")
+
+    def path(name):
+        return str(folder / name)
+
+    raw(spark, ARRIVALS).write.parquet(path("raw"))
     config = jobs.JobConfig(
-        database=database, raw=raw_dir, lake=path("lake"),
+        database="", raw=path("raw"), lake=path("lake"),
         city_temps_csv=csv(
             path, "city.csv", "dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,"
             "Latitude,Longitude", "2013-08-01,20.5,0.1,New York,United States,40N,74W",
@@ -80,9 +83,16 @@ def cfg(spark, path):
                 "Ketchikan;Alaska;35.0;1;2;3;4;5;2.50;ak;White;10"), ";"),
         })
     jobs.extract_job(spark, config)
+    return config
+
+
+@pytest.fixture
+def cfg(spark, extracted):
+    """A warehouse of its own for each test."""
+    config = dataclasses.replace(extracted, database=f"wh_{uuid.uuid4().hex[:8]}")
     jobs.setup_job(spark, config)
     yield config
-    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    spark.sql(f"DROP DATABASE IF EXISTS {config.database} CASCADE")
 
 
 def contents(spark, cfg):
@@ -226,9 +236,11 @@ def stray(spark, cfg):
     return clean.selectExpr("* EXCEPT (arrival_day)", "2 AS arrival_day").select(clean.columns)
 
 
-def test_a_stray_date_stays_with_its_batch(spark, cfg):
+def test_a_stray_date_stays_with_its_batch(spark, cfg, path):
     """The reconciliation counts by arrival date and so reports the stray row, but
     re-running one batch neither loses nor repeats rows of the other."""
+    cfg = dataclasses.replace(cfg, lake=path("own_lake"))
+    writers.write_lake(clean_arrivals(raw(spark, ARRIVALS)), cfg.lake)
     day_two = spark.read.schema(schemas.CLEAN_ARRIVALS).parquet(cfg.lake).where("arrival_day = 2")
     # Stored first, as the write replaces the files it comes from.
     writers.write_lake(settle(day_two.union(stray(spark, cfg))), cfg.lake)
