@@ -359,8 +359,41 @@ FROM (
 }
 
 
+# Columns to show as text (dates) or as doubles (decimals), as the queries do.
+_DATES = {
+    "day_partition_scan": ("arrival_date", "departure_date"),
+    "clean_arrivals": ("arrival_date", "departure_date"),
+    "sas_dates": ("arrival_date", "departure_date", "early_date"),
+    "seen_countries": ("first_seen",),
+    "seen_ports": ("first_seen",),
+    "fact_arrivals": ("load_day",),
+    "latest_city_temps": ("dt",),
+    "latest_country_temps": ("dt",),
+    "partition_mismatch": ("arrival_date",),
+    "load_day_counts": ("load_day",),
+}
+_MEASURES = ("median_age", "avg_household_size")
+_DECIMALS = {
+    "ports_in_batch": ("average_temperature",),
+    "dim_countries": ("average_temperature",),
+    "dim_ports": ("average_temperature",),
+    "insert_if_absent_first": ("average_temperature",),
+    "insert_if_absent_keep": ("average_temperature",),
+    "port_demographics_join": _MEASURES,
+    "new_demographics_antijoin": _MEASURES,
+    "dim_demographics": _MEASURES,
+    "demographics_by_origin": ("median_age",),
+}
+
+
+def _comparable(name: str, statement: str) -> str:
+    casts = [f"CAST({c} AS VARCHAR) AS {c}" for c in _DATES.get(name, ())]
+    casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in _DECIMALS.get(name, ())]
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({statement})" if casts else statement
+
+
 def all_oracles() -> dict[str, str]:
     statements = {name: _statement(body) for name, body in _BODIES.items()}
     statements["insert_if_absent_first"] = _upsert("first")
     statements["insert_if_absent_keep"] = _upsert("keep")
-    return statements
+    return {name: _comparable(name, statement) for name, statement in statements.items()}
