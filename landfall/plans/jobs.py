@@ -14,7 +14,7 @@ from landfall.operators.clean import clean_arrivals
 from landfall.operators.fact import batch_fact
 from landfall.operators.latest import latest_city_temps, latest_country_temps
 from landfall.plans.warehouse import create_warehouse
-from landfall.session import settle
+from landfall.session import scratch, settle
 from landfall.sources import readers, writers
 
 _DIMENSIONS = ("dim_countries", "dim_ports", "dim_airports", "dim_demographics", "dim_time")
@@ -52,12 +52,13 @@ def extract_job(spark: SparkSession, cfg: JobConfig) -> None:
     """Raw arrivals to the lake; latest temperatures to two sorted extracts."""
     raw = readers.read_raw_arrivals(spark, cfg.raw, cfg.raw_format, cfg.raw_months)
     writers.write_lake(clean_arrivals(raw), cfg.lake)
-    if cfg.country_temps_csv:
-        history = readers.read_temps(spark, cfg.country_temps_csv, schemas.COUNTRY_TEMPS)
-        writers.write_sorted(latest_country_temps(history), cfg.country_temps, "Country")
-    if cfg.city_temps_csv:
-        history = readers.read_temps(spark, cfg.city_temps_csv, schemas.CITY_TEMPS)
-        writers.write_sorted(latest_city_temps(history), cfg.city_temps, "City")
+    with scratch(spark):
+        if cfg.country_temps_csv:
+            history = readers.read_temps(spark, cfg.country_temps_csv, schemas.COUNTRY_TEMPS)
+            writers.write_sorted(latest_country_temps(history), cfg.country_temps, "Country")
+        if cfg.city_temps_csv:
+            history = readers.read_temps(spark, cfg.city_temps_csv, schemas.CITY_TEMPS)
+            writers.write_sorted(latest_city_temps(history), cfg.city_temps, "City")
 
 
 def setup_job(spark: SparkSession, cfg: JobConfig) -> None:
@@ -124,6 +125,11 @@ def load_day(spark: SparkSession, cfg: JobConfig, day: datetime.date) -> None:
     The order is that of the references between the tables. A check that fails
     raises DataQualityError and ends the load.
     """
+    with scratch(spark):
+        _load_day(spark, cfg, day)
+
+
+def _load_day(spark: SparkSession, cfg: JobConfig, day: datetime.date) -> None:
     writers.write_staging(
         readers.read_day(spark, cfg.lake, day), cfg.table("staging_immigration"), truncate=True)
     staging = spark.table(cfg.table("staging_immigration")).withColumn("load_day", F.lit(day))
@@ -157,6 +163,12 @@ def load_range(spark: SparkSession, cfg: JobConfig, start: datetime.date, end: d
     all and only the columns needed: for the codes, the days and the fact. Its
     files hold one day each, so the fact is written without a shuffle.
     """
+    with scratch(spark):
+        _load_range(spark, cfg, start, end, allow_empty_days)
+
+
+def _load_range(spark: SparkSession, cfg: JobConfig, start: datetime.date, end: datetime.date,
+                allow_empty_days: bool) -> None:
     staging = readers.read_days(spark, cfg.lake, start, end)
     codes = settle(dimensions.code_counts(staging), "codes")
     quality.check_staged(codes)

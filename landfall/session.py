@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_settled: ContextVar[list[str] | None] = ContextVar("settled", default=None)
 
 
 def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
@@ -57,5 +61,27 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    paths = _settled.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables settled inside the block when it ends.
+
+    Jobs run in such a block; a DataFrame built on a settled table must not be
+    used after it.
+    """
+    paths: list[str] = []
+    token = _settled.set(paths)
+    try:
+        yield
+    finally:
+        _settled.reset(token)
+        context = spark.sparkContext
+        for path in paths:
+            location = context._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from landfall import schemas
 from landfall.functions import days
-from landfall.session import settle, shared_folder
+from landfall.session import new_path, scratch, settle, shared_folder
 from landfall.sources import readers, writers
 
 D = datetime.date
@@ -185,3 +185,19 @@ def test_settled_tables_lie_in_the_shared_folder(spark):
     assert all(f.startswith(f"file:{shared_folder(spark)}/") or
                f.startswith(f"file://{shared_folder(spark)}/") for f in df.inputFiles())
     assert df.count() == 5
+
+
+def test_scratch_deletes_what_was_settled_inside(spark):
+    kept = settle(spark.range(5))
+    with pytest.raises(ZeroDivisionError):
+        with scratch(spark):
+            inside = settle(spark.range(3))
+            folder = os.path.dirname(inside.inputFiles()[0].removeprefix("file://"))
+            assert inside.count() == 3 and os.path.isdir(folder)
+            1 / 0
+    assert not os.path.exists(folder)
+    assert kept.count() == 5 and settle(spark.range(2)).count() == 2
+
+
+def test_paths_are_never_reused(spark):
+    assert len({new_path(spark, "x") for _ in range(100)}) == 100

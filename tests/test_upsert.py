@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -43,6 +44,28 @@ def test_null_in_a_key_conflicts_with_nothing(spark):
         ("a", None, 1), ("a", "x", 3), ("b", "x", 4)]
 
 
+ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(["x", "y", None]),
+                          st.one_of(st.none(), st.integers(0, 3))), min_size=1, max_size=25)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(new=ROWS, existing=ROWS, null_safe=st.booleans(), keep=st.booleans())
+def test_against_row_by_row_insertion(spark, new, existing, null_safe, keep):
+    """The rule as a loop: rows come in order and enter unless their key is taken."""
+    def taken(row, rows_):
+        key = row[:2]
+        return (null_safe or None not in key) and any(r[:2] == key for r in rows_)
+
+    table, entered = list(existing), []
+    for row in sorted(new, key=lambda r: (r[2] is None, r[2] or 0)):
+        if not taken(row, existing if keep else table):
+            table.append(row)
+            entered.append(row)
+    got = insert_if_absent(frame(spark, *new), frame(spark, *existing), ["k", "r"],
+                           in_batch="keep" if keep else "first", null_safe=null_safe)
+    assert rows(got) == rows(frame(spark, *entered))
+
+
 def test_keys_only(spark):
     new = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert rows(insert_if_absent(new, None, ["k"])) == [("a",), ("b",)]
