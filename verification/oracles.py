@@ -359,7 +359,8 @@ FROM (
 }
 
 
-# Columns to show as text (dates) or as doubles (decimals), as the queries do.
+# Columns to show as text (dates) or as doubles (decimals, nullable integers), as
+# the queries do.
 _DATES = {
     "day_partition_scan": ("arrival_date", "departure_date"),
     "clean_arrivals": ("arrival_date", "departure_date"),
@@ -373,7 +374,12 @@ _DATES = {
     "load_day_counts": ("load_day",),
 }
 _MEASURES = ("median_age", "avg_household_size")
-_DECIMALS = {
+_DOUBLES = {
+    "day_partition_scan": ("age", "birth_year"),
+    "clean_arrivals": ("age", "birth_year"),
+    "sas_dates": ("early_day",),
+    "arrivals_by_month_filter": ("age", "depdate"),
+    "fact_arrivals": ("age", "birth_year", "depdate"),
     "ports_in_batch": ("average_temperature",),
     "dim_countries": ("average_temperature",),
     "dim_ports": ("average_temperature",),
@@ -388,7 +394,7 @@ _DECIMALS = {
 
 def _comparable(name: str, statement: str) -> str:
     casts = [f"CAST({c} AS VARCHAR) AS {c}" for c in _DATES.get(name, ())]
-    casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in _DECIMALS.get(name, ())]
+    casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in _DOUBLES.get(name, ())]
     return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({statement})" if casts else statement
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall import schemas
 from landfall.functions import codes, days
@@ -27,14 +27,21 @@ SECOND_BATCH = datetime.date(1998, 1, 1)
 _QUERIES: dict[str, Query] = {}
 
 
+# Integers that can be NULL; client libraries disagree on how to hold those.
+_NULLABLE_INTEGERS = {"age", "birth_year", "depdate", "early_day"}
+
+
 def _comparable(df: DataFrame) -> DataFrame:
-    """Dates as text and decimals as doubles, so that no client library decides
-    whether two equal values look alike. The tests check the types themselves."""
-    casts = {"date": "string", "decimal": "double"}
-    return df.select(*[
-        F.col(f.name).cast(casts[f.dataType.typeName()]).alias(f.name)
-        if f.dataType.typeName() in casts else F.col(f.name)
-        for f in df.schema])
+    """Dates as text, decimals and nullable integers as doubles, so that no client
+    library decides whether equal values look alike. The tests check the types."""
+    def shown(name: str, dtype: str) -> Column:
+        if dtype == "date":
+            return F.col(name).cast("string").alias(name)
+        if dtype.startswith("decimal") or (dtype == "int" and name in _NULLABLE_INTEGERS):
+            return F.col(name).cast("double").alias(name)
+        return F.col(name)
+
+    return df.select(*[shown(name, dtype) for name, dtype in df.dtypes])
 
 
 def _register(query: Query) -> Query:
