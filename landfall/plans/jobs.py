@@ -17,9 +17,6 @@ from landfall.plans.warehouse import create_warehouse
 from landfall.session import scratch, settle
 from landfall.sources import readers, writers
 
-_DIMENSIONS = ("dim_countries", "dim_ports", "dim_airports", "dim_demographics", "dim_time")
-
-
 @dataclass(frozen=True)
 class JobConfig:
     """Where the jobs read and write.
@@ -74,19 +71,27 @@ def setup_job(spark: SparkSession, cfg: JobConfig) -> None:
 
 
 def _load_dimensions(spark: SparkSession, cfg: JobConfig, staging: DataFrame,
-                     codes: DataFrame) -> list[str]:
-    """Append what the batch adds and name the dimensions that grew. Each one is
-    read again after its append, as the next builder needs its new rows and keys."""
-    grown = []
+                     codes: DataFrame) -> None:
+    """Append what the batch adds. Each dimension is read again after its append,
+    as the next builder needs its new rows and their keys.
 
+    Constraints are checked on the dimension as it would become, before the
+    append, so refused rows never enter. The 'keep' rule admits repeated keys;
+    unique keys are then not checked.
+    """
     def table(name: str) -> DataFrame:
         return spark.table(cfg.table(name))
 
     def append(rows: DataFrame, name: str) -> None:
         # Most days add nothing; an empty append would leave an empty file.
-        if not rows.isEmpty():
-            writers.append_to(rows, cfg.table(name))
-            grown.append(name)
+        if rows.isEmpty():
+            return
+        if cfg.constraints:
+            spec = schemas.TABLES[name]
+            parents = {fk.parent: table(fk.parent) for fk in spec.foreign_keys}
+            quality.check_table(table(name).unionByName(rows), spec, parents,
+                                unique=cfg.in_batch == "first")
+        writers.append_to(rows, cfg.table(name))
 
     append(dimensions.build_ports(
         codes, table("staging_ports"), table("staging_city_temperatures"),
@@ -102,21 +107,14 @@ def _load_dimensions(spark: SparkSession, cfg: JobConfig, staging: DataFrame,
     append(dimensions.build_countries(
         codes, table("staging_countries"), table("staging_country_temperatures"),
         table("dim_countries"), cfg.in_batch), "dim_countries")
-    return grown
 
 
-def _check_constraints(spark: SparkSession, cfg: JobConfig, grown: list[str],
-                       batch: DataFrame) -> None:
-    """Constraints on the dimensions that grew and on the new fact rows.
-
-    The 'keep' rule admits repeated keys, so unique keys are then not checked.
-    Fact ids are unique by construction; checking would shuffle the whole fact.
-    """
-    tables = {name: spark.table(cfg.table(name)) for name in _DIMENSIONS}
-    for name in grown:
-        quality.check_table(tables[name], schemas.TABLES[name], tables,
-                            unique=cfg.in_batch == "first")
-    quality.check_table(batch, schemas.TABLES["fact_immigration"], tables, unique=False)
+def _check_fact(spark: SparkSession, cfg: JobConfig, batch: DataFrame) -> None:
+    """Constraints of the fact rows of a batch, in one pass over them. Their ids are
+    unique by construction; checking that would shuffle the whole fact."""
+    spec = schemas.TABLES["fact_immigration"]
+    parents = {fk.parent: spark.table(cfg.table(fk.parent)) for fk in spec.foreign_keys}
+    quality.check_table(batch, spec, parents, unique=False)
 
 
 def load_day(spark: SparkSession, cfg: JobConfig, day: datetime.date) -> None:
@@ -134,7 +132,7 @@ def _load_day(spark: SparkSession, cfg: JobConfig, day: datetime.date) -> None:
         readers.read_day(spark, cfg.lake, day), cfg.table("staging_immigration"), truncate=True)
     staging = spark.table(cfg.table("staging_immigration")).withColumn("load_day", F.lit(day))
     quality.check_staged(staging)
-    grown = _load_dimensions(spark, cfg, staging, settle(dimensions.code_counts(staging), "codes"))
+    _load_dimensions(spark, cfg, staging, settle(dimensions.code_counts(staging), "codes"))
 
     countries, ports = (spark.table(cfg.table(n)) for n in ("dim_countries", "dim_ports"))
     writers.overwrite_batch(
@@ -142,7 +140,7 @@ def _load_day(spark: SparkSession, cfg: JobConfig, day: datetime.date) -> None:
 
     fact = spark.table(cfg.table("fact_immigration"))
     if cfg.constraints:
-        _check_constraints(spark, cfg, grown, fact.where(F.col("load_day") == F.lit(day)))
+        _check_fact(spark, cfg, fact.where(F.col("load_day") == F.lit(day)))
     quality.check_reconciled(
         staging, countries, ports, fact, spark.table(cfg.table("dim_time")), day)
 
@@ -176,7 +174,7 @@ def _load_range(spark: SparkSession, cfg: JobConfig, start: datetime.date, end:
         wanted = (end - start).days + 1
         quality.check(codes.agg(F.count_distinct("load_day").alias("days")),
                       lambda found: found == wanted, f"days with arrivals of {wanted}")
-    grown = _load_dimensions(spark, cfg, staging, codes)
+    _load_dimensions(spark, cfg, staging, codes)
 
     countries, ports = (spark.table(cfg.table(n)) for n in ("dim_countries", "dim_ports"))
     writers.overwrite_range(
@@ -185,7 +183,7 @@ def _load_range(spark: SparkSession, cfg: JobConfig, start: datetime.date, end:
     fact = spark.table(cfg.table("fact_immigration"))
     first, last = F.lit(start), F.lit(end)
     if cfg.constraints:
-        _check_constraints(spark, cfg, grown, fact.where(F.col("load_day").between(first, last)))
+        _check_fact(spark, cfg, fact.where(F.col("load_day").between(first, last)))
     arrived = fact.where(F.col("arrdate").between(days.day_number(first), days.day_number(last)))
     differing = quality.reconciliation(
         codes, countries, ports, arrived, spark.table(cfg.table("dim_time"))

@@ -284,8 +284,23 @@ def test_orphans_stop_the_load(spark, cfg):
     orphan = spark.createDataFrame(
         [(99, 77, Decimal("1.00"), 1, 1, 1, 1, 1, Decimal("1.00"), "White", 1)], spec.schema)
     writers.append_to(orphan, cfg.table("dim_demographics"))
-    with pytest.raises(DataQualityError, match="port_id in dim_ports"):
-        jobs.load_day(spark, cfg, START)
+    for _ in range(2):
+        with pytest.raises(DataQualityError, match="port_id in dim_ports"):
+            jobs.load_day(spark, cfg, START)
+    # The rows of the refused append are not there.
+    assert spark.table(cfg.table("dim_demographics")).count() == 1
+
+
+def test_a_lookup_row_without_a_name_is_refused_each_time(spark, cfg):
+    unnamed = spark.createDataFrame(
+        [("999", None)], schemas.TABLES["staging_countries"].schema)
+    writers.append_to(unnamed, cfg.table("staging_countries"))
+    for _ in range(2):
+        with pytest.raises(DataQualityError, match="country not null"):
+            jobs.load_day(spark, cfg, START)
+    assert spark.table(cfg.table("dim_countries")).count() == 0
+    # Other days do not meet that code.
+    jobs.load_day(spark, cfg, D(2016, 1, 2))
 
 
 def test_command_line(spark, cfg, path):
