@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.llm import (
-    bpe, minhash, quality_bayes, quality_rules, sharding, token_counts, toxicity, url_filter)
+    bpe, decontaminate, minhash, quality_bayes, quality_rules, sharding, token_counts, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,11 +59,17 @@ def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assign(_table(spark, sf, "documents"), 24)
 
 
+def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.judge(
+        _table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select("doc_id", "contaminated", "item_ids")
+
+
 def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), size=3, percent=85)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_quality_rules, op3_token_counts, op5_bpe, op6_quality_bayes, op7_url_filter,
-    op8_sharding, op10_minhash)}
+    op8_sharding, op9_decontamination, op10_minhash)}
 ORACLES: dict[str, str] = {}
