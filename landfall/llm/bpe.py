@@ -17,26 +17,17 @@ apart; rows without an id are spread by their text.
 
 from __future__ import annotations
 
-import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from landfall.llm.blocks import blocked, ddl, packs, read_pack
 from landfall.llm.text import map_rows, to_bytes
 
-BLOCK_DOCS = 2048
-#: Distinct words that a task gathers before it sends them on, and bytes of a pack of texts.
-WORDS_HELD, PACK_BYTES = 500_000, 1 << 20
-
-
-def _blocks(docs: DataFrame) -> DataFrame:
-    """(block, doc_id, text)."""
-    spread = -1 - F.pmod(F.xxhash64("text"), F.lit(1024))
-    return docs.select(
-        F.coalesce(F.floor(F.col("doc_id") / BLOCK_DOCS), spread).cast("long").alias("block"),
-        F.col("doc_id").cast("long").alias("doc_id"), "text")
+#: Distinct words that a task gathers before it sends them on.
+WORDS_HELD = 500_000
 
 
 def _questions(docs: DataFrame, buckets: int) -> DataFrame:
@@ -114,34 +105,6 @@ def _unpack_numbers(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, "<u4" if packed[:1] == b"4" else "<u2", offset=1)
 
 
-def _packs(docs: DataFrame) -> DataFrame:
-    """(block, pack): compressed lists of (doc_id, text as bytes)."""
-
-    def rows(records: Iterator[dict]) -> Iterator[tuple]:
-        import zstandard
-
-        squeeze = zstandard.ZstdCompressor(level=3)
-        held: dict[int, tuple[list, list]] = {}
-        size = 0
-
-        def sent() -> Iterator[tuple]:
-            for block, (ids, texts) in held.items():
-                yield block, squeeze.compress(pickle.dumps((ids, texts), 5))
-            held.clear()
-
-        for record in records:
-            ids, texts = held.setdefault(record["block"], ([], []))
-            ids.append(record["doc_id"])
-            texts.append(to_bytes(record["text"]))
-            size += len(texts[-1])
-            if size > 4 * PACK_BYTES or len(texts) >= BLOCK_DOCS:
-                yield from sent()
-                size = 0
-        yield from sent()
-
-    return map_rows(docs, "block long, pack binary", rows)
-
-
 def load(tokenizer: str):
     """The tokenizer from the text of its file."""
     import os
@@ -155,23 +118,20 @@ def load(tokenizer: str):
     return found
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids): ids as little-endian unsigned 32-bit integers, for each row of docs."""
+def encode(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`keep` and ids, as little-endian unsigned 32-bit integers, for each row of docs."""
     tokenizer = open(path, encoding="utf-8").read()
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = _blocks(docs)
+    blocks = blocked(docs, keep)
     none = F.lit(None).cast("binary")
     told = _answers(_questions(blocks, buckets), tokenizer).select(
         "block", F.lit(0).alias("kind"), "words", "lengths", "ids", none.alias("pack"))
-    texts = _packs(blocks).select(
+    texts = packs(blocks).select(
         "block", F.lit(1).alias("kind"), none.alias("words"), none.alias("lengths"),
         none.alias("ids"), "pack")
     met = told.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
-        import zstandard
-
-        open_pack = zstandard.ZstdDecompressor()
         block, table = None, {}
         for record in records:
             if record["block"] != block:
@@ -184,11 +144,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                     table[word] = ids[begin:end]
                     begin = end
             else:
-                keys, found = pickle.loads(open_pack.decompress(record["pack"]))
-                for key, text in zip(keys, found, strict=True):
-                    yield key, b"".join(map(table.__getitem__, text.split()))
+                for _, kept, text in read_pack(record["pack"]):
+                    yield *kept, b"".join(map(table.__getitem__, text.split()))
 
-    return map_rows(met, "doc_id long, ids binary", rows)
+    return map_rows(met, f"{ddl(docs, keep)}, ids binary", rows)
 
 
 def pieces(path: str) -> list[str]:
@@ -199,7 +158,7 @@ def pieces(path: str) -> list[str]:
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """Adds `decoded` to (doc_id, ids): each id joined with its piece, joined by blanks.
+    """Adds `decoded` to rows with `ids`: each id joined with its piece, joined by blanks.
 
     That is how this kind of tokenizer decodes, for its file names no decoder.
     """
@@ -212,6 +171,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for record in records:
             ids = record["ids"] or b""
             text = b" ".join(map(piece, np.frombuffer(ids, "<u4").tolist()))
-            yield record["doc_id"], ids, text.decode()
+            yield *record.values(), text.decode()
 
-    return map_rows(encoded, "doc_id long, ids binary, decoded string", rows)
+    return map_rows(encoded, f"{ddl(encoded, encoded.columns)}, decoded string", rows)

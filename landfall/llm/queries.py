@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.llm import (
-    bpe, decontaminate, minhash, quality_bayes, quality_rules, sharding, token_counts, toxicity, url_filter)
+    bpe, decontaminate, minhash, quality_bayes, quality_rules, sharding, suffix_dedup,
+    token_counts, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +35,13 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
         public_tokenizers.PATTERN)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf, "documents"), 100)
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("rest")).alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"), F.sha2("rest", 256).alias("kept_sha256"))
+
+
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +78,6 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_toxicity, op2_quality_rules, op3_token_counts, op5_bpe, op6_quality_bayes, op7_url_filter,
+    op1_toxicity, op2_quality_rules, op3_token_counts, op4_suffix_dedup, op5_bpe, op6_quality_bayes, op7_url_filter,
     op8_sharding, op9_decontamination, op10_minhash)}
 ORACLES: dict[str, str] = {}
