@@ -14,6 +14,8 @@ items nothing is contaminated.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landfall.session import settle
@@ -94,16 +96,12 @@ def alignments(docs: DataFrame, tests: DataFrame) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, tests: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """`keep` (default doc_id), contaminated and the sorted item_ids of every document."""
-    keep = keep or ["doc_id"]
-    found = settle(alignments(docs, tests), "found").groupBy(
-        F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark")).agg(
+def judge(docs: DataFrame, tests: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`keep`, contaminated and the sorted item_ids of every document."""
+    found = settle(alignments(docs, tests), "found").groupBy("doc_id", "mark").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    rows = docs.select(*keep, F.xxhash64("text").alias("mark"))
-    joined = rows.join(
-        found, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark")),
-        "left")
-    return joined.select(
-        *keep, F.col("its_mark").isNotNull().alias("contaminated"),
+    rows = docs.select(F.struct(*keep).alias("kept"), "doc_id", F.xxhash64("text").alias("mark"))
+    same = rows.doc_id.eqNullSafe(found.doc_id) & (rows.mark == found.mark)
+    return rows.join(found, same, "left").select(
+        "kept.*", found.mark.isNotNull().alias("contaminated"),
         F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"))

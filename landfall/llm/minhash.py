@@ -24,7 +24,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from landfall.llm.components import components
 from landfall.llm.text import map_rows, mix, shingle_hashes, to_bytes, word_hashes
@@ -86,10 +86,11 @@ def _profiles(docs: DataFrame, size: int, bands: int, slots: int) -> DataFrame:
             marks = None
             if len(found):
                 marks = band_hashes(superminhash(found, bands * slots), bands, slots).tolist()
-            yield record["doc_id"], record["at"], len(found), _key(found), marks
+            yield (record["doc_id"], record["at"], record["mark"], len(found), _key(found),
+                   marks)
 
-    return map_rows(docs, "doc_id long, at long, n_shingles long, set_key binary, "
-                          "bands array<long>", rows)
+    return map_rows(docs, "doc_id long, at long, mark long, n_shingles long, "
+                          "set_key binary, bands array<long>", rows)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -125,17 +126,22 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of docs."""
+    """doc_id, mark (the text's hash), n_shingles, component_id, stays, kept of every row.
+
+    `kept` marks the rows whose id names their group; `stays` is true for the one row of a
+    group that comes first by id and text hash, for rows without ids as well.
+    """
     bands, slots = banding(percent)
     # `at` finds the row again; rows without an id are found by their text.
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("at"), "text")
+        F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("at"),
+        F.xxhash64("text").alias("mark"), "text")
     profiles = settle(_profiles(keyed, size, bands, slots), "profiles")
     # Numbered once, as stored.
     nodes = settle(
         profiles.where("n_shingles > 0").groupBy("set_key").agg(
-            F.min("doc_id").alias("first_id"), F.min("at").alias("at"),
+            F.min(_row()).alias("first"), F.min("at").alias("at"),
             F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -175,19 +181,50 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     if not more.isEmpty():
         found = components(found.unionByName(_confirmed(more, texts, size, percent)))
 
-    roots = nodes.select("set_key", "node", "first_id").join(
+    roots = nodes.select("set_key", "node", "first").join(
         found.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left"
     ).withColumn("root", F.coalesce("root", "node"))
-    names = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = roots.join(names, "root").select("set_key", "component_id")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    names = roots.groupBy("root").agg(F.min("first").alias("first"))
+    classes = roots.drop("first").join(names, "root").select("set_key", "first")
+    alone = F.col("n_shingles") == 0
     return (
-        profiles.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
+        profiles.select("doc_id", "mark", "n_shingles", "set_key")
+        .join(classes, "set_key", "left")
+        .select("doc_id", "mark", "n_shingles",
+                F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id"))
+                .alias("component_id"),
+                (alone | (_row() == F.col("first"))).alias("stays"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
 
 
+def _row() -> Column:
+    """Orders rows by id, rows without one last, and then by text."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+
+
+def remove_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay: one of each group, the one with the smallest id.
+
+    Of rows with one id and one text, one stays. Rows without words all stay.
+    """
+    stays = near_duplicates(docs, size, percent).where("stays").select(
+        F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark")).distinct()
+    # Clashing column names stay inside the struct.
+    rows = docs.select(F.struct(*docs.columns).alias("kept"), F.col("doc_id").cast("long").alias(
+        "doc_id"), F.xxhash64("text").alias("mark"))
+    kept = rows.join(
+        stays, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark")),
+        "left_semi")
+    twice = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark"))
+    again = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))
+    once = kept.join(twice, again, "left_anti").select("kept.*")
+    repeated = kept.join(twice, again, "left_semi").groupBy("doc_id", "mark").agg(
+        F.first("kept").alias("kept")).select("kept.*")
+    return once.unionByName(repeated)
+
+
 def _of_nodes(keyed: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(node, text) of the wanted nodes; of rows that share an id, those with the set."""
 

@@ -74,7 +74,8 @@ def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf, "documents"), size=3, percent=85)
+    return minhash.near_duplicates(_table(spark, sf, "documents"), size=3, percent=85).drop(
+        "mark", "stays")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (

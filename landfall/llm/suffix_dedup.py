@@ -276,14 +276,13 @@ def _regions(met: DataFrame, length: int, buckets: int) -> DataFrame:
                         last[hit].tolist(), powers[at[hit]].tolist(), strict=True):
                     text = raw[b:e + length]
                     region = (hash_, key, m, block, p, b, text, power, None)
-                    same = first.setdefault((p - b, text), region)
-                    if same is not region:
-                        if (key, m, p) < (same[1], same[2], same[4]):
-                            first[p - b, text] = region
-                            region = same
-                        if region[1:3] + region[4:5] != first[p - b, text][1:3] + (
-                                first[p - b, text][4],):
-                            repeat(region)
+                    place_of = (key, m, p)
+                    known = first.setdefault((p - b, text), region)
+                    if place_of < (its := (known[1], known[2], known[4])):
+                        first[p - b, text] = region
+                        repeat(known)
+                    elif place_of > its:
+                        repeat(region)
             if len(first) > HELD:
                 yield from sent()
             yield from out.rows(least=8 << 20)
@@ -430,9 +429,12 @@ def _resolved(sent: DataFrame, length: int, buckets: int, final: bool) -> DataFr
     return map_rows(dealt, _SENT, rows)
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, keep: Sequence[str] = ("doc_id",)
-                   ) -> DataFrame:
-    """`keep`, n_bytes, begins and ends of the removed runs, and the bytes left."""
+def remove_repeats(docs: DataFrame, length: int = 100, keep: Sequence[str] = ("doc_id",),
+                   as_text: bool = False) -> DataFrame:
+    """`keep`, n_bytes, begins and ends of the removed runs, and the rest of the bytes.
+
+    As a text, the rest loses characters of which a byte was removed.
+    """
     if length < K + 8:
         raise ValueError(f"strings of at least {K + 8} bytes")
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -473,7 +475,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, keep: Sequence[str] = ("d
                 ends = part["end"].tolist() if part is not None else []
                 rest = b"".join(raw[a:b] for a, b in zip(
                     [0, *ends], [*begins, len(raw)], strict=True))
-                yield *kept, len(raw), begins, ends, rest
+                yield (*kept, len(raw), begins, ends,
+                       rest.decode(errors="ignore") if as_text else rest)
 
     return map_rows(back, f"{ddl(docs, keep)}, n_bytes long, begins array<long>, "
-                          "ends array<long>, rest binary", rows)
+                          f"ends array<long>, rest {'string' if as_text else 'binary'}", rows)

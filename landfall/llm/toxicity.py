@@ -15,14 +15,16 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from landfall.llm.blocks import ddl
 from landfall.llm.labels import SAMPLE_ROWS, fold, labelled_sample
 from landfall.llm.text import map_rows
 from landfall.session import settle
@@ -91,7 +93,6 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
 
 
 def _nearest(places: list[int], at: int) -> int:
-    from bisect import bisect_left
     k = bisect_left(places, at)
     return min(places[max(0, k - 1):k + 1], key=lambda p: abs(p - at))
 
@@ -125,15 +126,17 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     return {r["word"]: r["weight"] for r in found.collect()}
 
 
-def _with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
-    kept = [f.simpleString().replace(":", " ", 1) for f in docs.select(*keep).schema]
+def _with_features(docs: DataFrame, lexicon: dict[str, float], keep: Sequence[str]
+                   ) -> DataFrame:
+    """kept (a struct of the columns to keep), doc_id, features."""
+    inputs = docs.select(F.struct(*keep).alias("kept"), "doc_id", "text")
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
         for record in records:
-            yield (*[record[c] for c in keep], features(record["text"], lexicon))
+            yield record["kept"], record["doc_id"], features(record["text"], lexicon)
 
-    return map_rows(docs.select(*keep, "text"), ", ".join([*kept, "x array<double>"]), rows
-                    ).withColumn("features", array_to_vector("x")).drop("x")
+    return map_rows(inputs, f"{ddl(inputs, ['kept', 'doc_id'])}, x array<double>", rows
+                    ).select("kept", "doc_id", array_to_vector("x").alias("features"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
@@ -143,8 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     share = sample.agg(F.avg("label")).first()[0] or 0.0
     if not lexicon:
         return Model({}, None, None, float(share))
-    dense = settle(_with_features(sample, lexicon, ["doc_id", "label", "fold"])
-                   .orderBy("doc_id", "label").coalesce(4), "features")
+    dense = settle(
+        _with_features(sample, lexicon, ["label", "fold"])
+        .select("doc_id", "kept.label", "kept.fold", "features")
+        .orderBy("doc_id", "label").coalesce(4), "features")
     trees = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.2,
                           maxBins=64, seed=11).fit(dense.where(F.col("fold") != 3))
     held = trees.transform(dense.where(F.col("fold") == 3)).select(
@@ -156,25 +161,23 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     return Model(lexicon, trees, calibration, float(share))
 
 
-def _margin():
-    from pyspark.ml.functions import vector_to_array
+def _margin() -> Column:
     return vector_to_array("rawPrediction")[1]
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """`keep` (default doc_id) and held_out, score, predicted."""
-    keep = keep or ["doc_id"]
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`keep` and held_out, score, predicted."""
     if model.trees is None:
-        scored = docs.select(*keep).withColumn("score", F.lit(model.share))
+        scored = docs.select(F.struct(*keep).alias("kept"), "doc_id").withColumn(
+            "score", F.lit(model.share))
     else:
         scored = model.trees.transform(_with_features(docs, model.lexicon, keep))
         if model.calibration is None:
-            from pyspark.ml.functions import vector_to_array
             scored = scored.withColumn("score", vector_to_array("probability")[1])
         else:
             scored = model.calibration.setPredictionCol("score").transform(
                 scored.withColumn("margin", _margin()))
-    scored = scored.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")))
+    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score")))
     return scored.select(
-        *keep, F.coalesce(fold("doc_id") == 2, F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+        "kept.*", F.coalesce(fold("doc_id") == 2, F.lit(False)).alias("held_out"),
+        score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
