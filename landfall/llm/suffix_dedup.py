@@ -340,11 +340,17 @@ def repeated_windows(regions: list[tuple], length: int) -> np.ndarray:
     after, shared_after = sorted_texts([r[6][r[4] - r[5]:] for r in regions], length)
     back, shared_back = sorted_texts([r[6][:r[4] - r[5]][::-1] for r in regions], reach)
     repeats = np.zeros((n, reach + 1), bool)
+    windows = None
+    if any(r[8] is not None for r in regions):
+        every = 2 ** (reach + 1) - 1
+        windows = np.array([[(every if r[8] is None else r[8]) >> w & 1
+                             for w in range(reach + 1)] for r in regions], bool)
     run_after, run_back = np.empty(n, np.int64), np.empty(n, np.int64)
     for w in range(reach + 1):
         offset = w - reach
         open_ = (begins <= offset) & (offset < begins + counts)
-        open_ &= np.array([r[8] is None or bool(r[8] >> w & 1) for r in regions])
+        if windows is not None:
+            open_ &= windows[:, w]
         mine = np.flatnonzero(open_)
         if len(mine) < 2:
             continue
@@ -369,6 +375,7 @@ def _resolved(sent: DataFrame, length: int, buckets: int, final: bool) -> DataFr
         def judged() -> Iterator[tuple]:
             # Anchors with one region are unique after all: equal fingerprints differed.
             held.sort(key=lambda r: (r[0], r[1], r[2], r[4]))
+            held[:] = list(distinct(held))
             hashes = np.array([r[0] for r in held], np.uint64)
             edge = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
             sizes = np.diff(np.append(edge, len(held)))
@@ -388,6 +395,19 @@ def _resolved(sent: DataFrame, length: int, buckets: int, final: bool) -> DataFr
             held.clear()
             yield from out.rows()
 
+        def distinct(regions: list[tuple]) -> Iterator[tuple]:
+            """Without those equal to an earlier one, which are repeats throughout."""
+            first: dict[tuple, tuple] = {}
+            for r in regions:
+                if r[8] is not None:
+                    yield r
+                    continue
+                known = first.setdefault((r[4] - r[5], r[6]), r)
+                if known is r:
+                    yield r
+                elif (known[1], known[2], known[4]) != (r[1], r[2], r[4]):
+                    out.span(r[3], r[1], r[2], r[5], r[5] + len(r[6]))
+
         def settle_regions(some: list[tuple]) -> None:
             repeats = repeated_windows(some, length)
             for r, again in zip(some, repeats, strict=True):
