@@ -6,8 +6,10 @@ permutation of its own, so that slots agree less by chance than with independent
 and stops as soon as no later draw can be smaller. Slots are cut into bands; nodes that
 share a band are candidates.
 
-First every node of a band is compared with the band's smallest node, then, in bands that
-still hold several components, nodes of different components are compared. A link stands
+First every node of a band is compared with the band's smallest node. In bands that then
+still hold several components, all nodes of different components are compared: as pairs in
+small bands, in large ones by blocks of nodes in tasks that pass over what they or the
+first round have joined, and send on only what joins more. A link stands
 only if the full sets overlap enough. With the default bands two documents just at the
 similarity asked for miss each other in every band with a probability below one in a
 million.
@@ -22,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,6 +37,8 @@ _GOLDEN = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_GOLDEN)
 #: Shingles whose permutations a task holds at once; members of a leader in one task.
 ELEMENTS, MEMBERS = 1 << 15, 512
+#: Nodes of a band up to which all its pairs of different components are listed.
+SMALL = 12
 
 
 def banding(percent: int) -> tuple[int, int]:
@@ -125,6 +130,65 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return map_rows(met, "u long, v long", rows)
 
 
+def _linked_within(rest: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (u, v) that join the components of each large band, from (band, node, root, size).
+
+    A band's nodes are dealt into lots of about MEMBERS, and each two lots meet in a task,
+    which counts the overlaps of a set with all others through an index of their shingles.
+    Sets in one component, also by links just found, need no comparing.
+    """
+    lots = F.ceil(F.col("size") / MEMBERS)
+    dealt = rest.withColumn("side", F.pmod(F.xxhash64("node"), lots)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), lots - 1)))
+    met = (
+        dealt.select("band", F.least("side", "other").alias("i"),
+                     F.greatest("side", "other").alias("j"), "side", "node", "root")
+        .join(texts, "node").repartition("band", "i", "j")
+        .sortWithinPartitions("band", "i", "j"))
+
+    def rows(records: Iterator[dict]) -> Iterator[tuple]:
+        for (_, i, j), found in groupby(records, key=lambda r: (r["band"], r["i"], r["j"])):
+            members = list(found)
+            first = [r for r in members if r["side"] == i]
+            yield from _join_lots(first, [r for r in members if r["side"] == j] if i < j
+                                  else first, size, percent)
+
+    return map_rows(met, "u long, v long", rows)
+
+
+def _join_lots(left: list[dict], right: list[dict], size: int, percent: int) -> Iterator[tuple]:
+    parent = {r["root"]: r["root"] for r in (*left, *right)}
+
+    def root(node: int) -> int:
+        while parent[node] != node:
+            parent[node] = parent[parent[node]]
+            node = parent[node]
+        return node
+
+    sets = [shingle_set(r["text"], size) for r in right]
+    sizes = np.array([len(s) for s in sets])
+    every = np.concatenate([*sets, np.empty(0, np.uint64)])
+    order = np.argsort(every, kind="stable")
+    shingles, owners = every[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    parts = len({root(r) for r in parent})
+    for r in left:
+        if parts < 2:
+            return
+        mine = shingle_set(r["text"], size)
+        low = np.searchsorted(shingles, mine, "left")
+        counts = np.searchsorted(shingles, mine, "right") - low
+        # Places low, low + 1, ... of each of my shingles in the index.
+        steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        both = np.bincount(owners[np.repeat(low, counts) + steps], minlength=len(sets))
+        alike = 100 * both >= percent * (len(mine) + sizes - both)
+        for k in np.flatnonzero(alike).tolist():
+            a, b = root(r["root"]), root(right[k]["root"])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                parts -= 1
+                yield r["node"], right[k]["node"]
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, mark (the text's hash), n_shingles, component_id, stays, kept of every row.
 
@@ -167,19 +231,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         found.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left"
     ).withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("band").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("head")
-    ).where("low < high").select("band", "head")
-    # The head of a band has met all others already.
-    rest = settle(placed.join(mixed, "band").where("node != head").drop("head"), "rest")
-    a, b = rest.alias("a"), rest.alias("b")
-    more = settle(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")
+    ).where("low < high").select("band", "size")
+    rest = settle(placed.join(mixed, "band"), "rest")
+    a, b = (rest.where(F.col("size") <= SMALL).alias(x) for x in "ab")
+    pairs = settle(
         a.join(b, F.col("a.band") == F.col("b.band"))
         .where((F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root")))
         .where(alike("a.n", "b.n"))
         .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-        .join(stars, ["u", "v"], "left_anti"), "more")
-    if not more.isEmpty():
-        found = components(found.unionByName(_confirmed(more, texts, size, percent)))
+        .join(stars, ["u", "v"], "left_anti"), "pairs")
+    more = settle(_confirmed(pairs, texts, size, percent).unionByName(
+        _linked_within(rest.where(F.col("size") > SMALL), texts, size, percent)), "more")
+    found = components(found.unionByName(more))
 
     roots = nodes.select("set_key", "node", "first").join(
         found.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left"
