@@ -18,6 +18,18 @@ BLOCK_DOCS = 2048
 PACK_BYTES = 4 << 20
 
 
+def squeezed(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def blocked(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """(block, doc_id, text, kept): `kept` is a struct of the columns to keep."""
     spread = -1 - F.pmod(F.xxhash64("text"), F.lit(1024))
@@ -31,15 +43,12 @@ def packs(blocks: DataFrame) -> DataFrame:
     """(block, pack) of (block, doc_id, text, kept)."""
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
-        import zstandard
-
-        squeeze = zstandard.ZstdCompressor(level=3)
         held: dict[int, list[tuple]] = {}
         size = 0
 
         def sent() -> Iterator[tuple]:
             for block, found in held.items():
-                yield block, squeeze.compress(pickle.dumps(found, 5))
+                yield block, squeezed(pickle.dumps(found, 5))
             held.clear()
 
         for r in records:
@@ -57,9 +66,7 @@ def packs(blocks: DataFrame) -> DataFrame:
 
 def read_pack(pack: bytes) -> list[tuple]:
     """(doc_id, kept values, text as bytes) of each document."""
-    import zstandard
-
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(pack))
+    return pickle.loads(unsqueezed(pack))
 
 
 def ddl(docs: DataFrame, columns: Sequence[str]) -> str:

@@ -23,7 +23,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from landfall.llm.blocks import blocked, ddl, packs, read_pack
+from landfall.llm.blocks import (
+    blocked, ddl, packs, read_pack, squeezed, unsqueezed)
 from landfall.llm.text import map_rows, to_bytes
 
 #: Distinct words that a task gathers before it sends them on.
@@ -43,7 +44,7 @@ def _questions(docs: DataFrame, buckets: int) -> DataFrame:
                 for word in words:
                     parts.setdefault(zlib.crc32(word) % buckets, []).append(word)
                 for bucket, found in parts.items():
-                    yield bucket, block, b" ".join(sorted(found))
+                    yield bucket, block, squeezed(b" ".join(sorted(found)))
             held.clear()
 
         for record in records:
@@ -78,7 +79,8 @@ def _answers(questions: DataFrame, tokenizer: str) -> DataFrame:
                 found = [known[w] for w in joined.split(b" ")]
                 lengths = np.array([len(f) for f in found], "<u4")
                 ids = np.fromiter((i for f in found for i in f), "<u4", int(lengths.sum()))
-                yield block, joined, _pack_numbers(lengths), _pack_numbers(ids)
+                yield (block, squeezed(joined), squeezed(_pack_numbers(lengths)),
+                       squeezed(_pack_numbers(ids)))
             asked.clear()
 
         bucket = None
@@ -86,7 +88,7 @@ def _answers(questions: DataFrame, tokenizer: str) -> DataFrame:
             if asked and record["bucket"] != bucket:
                 yield from told()
             bucket = record["bucket"]
-            asked.append((record["block"], record["words"]))
+            asked.append((record["block"], unsqueezed(record["words"])))
         if asked:
             yield from told()
 
@@ -137,10 +139,11 @@ def encode(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",)) -> Dat
             if record["block"] != block:
                 block, table = record["block"], {}
             if record["kind"] == 0:
-                ends = np.cumsum(_unpack_numbers(record["lengths"]), dtype=np.int64) * 4
-                ids = _unpack_numbers(record["ids"]).astype("<u4").tobytes()
+                lengths = _unpack_numbers(unsqueezed(record["lengths"]))
+                ends = np.cumsum(lengths, dtype=np.int64) * 4
+                ids = _unpack_numbers(unsqueezed(record["ids"])).astype("<u4").tobytes()
                 begin = 0
-                for word, end in zip(record["words"].split(b" "), ends.tolist(), strict=True):
+                for word, end in zip(unsqueezed(record["words"]).split(b" "), ends.tolist(), strict=True):
                     table[word] = ids[begin:end]
                     begin = end
             else:

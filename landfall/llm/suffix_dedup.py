@@ -32,7 +32,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from landfall.llm.blocks import blocked, ddl, packs, read_pack
+from landfall.llm.blocks import (
+    blocked, ddl, packs, read_pack, squeezed, unsqueezed)
 from landfall.llm.suffix_array import suffix_array
 from landfall.llm.text import map_rows, mix, to_bytes
 
@@ -160,18 +161,6 @@ def mark(raw: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
-def _squeezed(found: object) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(found, 5))
-
-
-def _opened(data: bytes) -> object:
-    import zstandard
-
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
-
-
 def _home(region: tuple, buckets: int, salt: int) -> int:
     """The bucket of a region: by its anchor and, for frequent ones, the salt."""
     return (region[0] + salt * 0x9E3779B97F4A7C15) % 2**64 % buckets
@@ -199,7 +188,7 @@ class _Outbox:
         if self.size < least:
             return
         for bucket, found in self.regions.items():
-            yield bucket, 0, 0, _squeezed(found)
+            yield bucket, 0, 0, squeezed(pickle.dumps(found, 5))
         for block, found in self.spans.items():
             yield block % self.buckets, 1, block, merged(np.array(found, _SPAN)).tobytes()
         self.spans, self.regions, self.size = {}, {}, 0
@@ -441,7 +430,7 @@ def _resolved(sent: DataFrame, length: int, buckets: int, final: bool) -> DataFr
             if r["kind"] == 1:
                 yield r["bucket"], 1, r["block"], r["data"]
             else:
-                held += _opened(r["data"])
+                held += pickle.loads(unsqueezed(r["data"]))
         if held:
             yield from judged()
 
