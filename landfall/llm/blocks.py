@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from landfall.llm.text import map_rows, to_bytes
 
-BLOCK_DOCS = 2048
+BLOCK_DOCS = 4096
 PACK_BYTES = 4 << 20
 
 
 def squeezed(data: bytes) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=9).compress(data)
 
 
 def unsqueezed(data: bytes) -> bytes:
