@@ -166,7 +166,7 @@ def _join_lots(left: list[dict], right: list[dict], size: int, percent: int) ->
         return node
 
     sets = [shingle_set(r["text"], size) for r in right]
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     every = np.concatenate([*sets, np.empty(0, np.uint64)])
     order = np.argsort(every, kind="stable")
     shingles, owners = every[order], np.repeat(np.arange(len(sets)), sizes)[order]
