@@ -9,9 +9,8 @@ from landfall.functions import days
 from landfall.operators.upsert import dense_keys
 
 # Each batch day owns 2^47 ids. A task's part of monotonically_increasing_id()
-# takes 2^33 of them, so up to 2^14 tasks fit.
+# takes 2^33 of them, so up to 2^14 tasks fit; more are an error, never a merged task.
 _DAY_BITS = 47
-_MAX_TASKS = 1 << (_DAY_BITS - 33)
 
 
 def build_fact(staging: DataFrame, countries: DataFrame, ports: DataFrame) -> DataFrame:
@@ -36,22 +35,31 @@ def build_fact(staging: DataFrame, countries: DataFrame, ports: DataFrame) -> Da
 
 def day_start(load_day: Column) -> Column:
     """First id of a batch day. Ids of a day depend on no other day, so a load
-    needs no look at the fact and days can be re-run in any order."""
-    return F.shiftleft(days.day_number(load_day).cast("long"), _DAY_BITS)
+    needs no look at the fact and days can be re-run in any order. A day whose ids
+    would not fit 63 bits is an error."""
+    number = days.day_number(load_day).cast("long")
+    fits = (number >= 0) & (number < 1 << (63 - _DAY_BITS))
+    return F.when(number.isNull() | fits, F.shiftleft(number, _DAY_BITS)).otherwise(
+        F.raise_error(F.concat(F.lit("no ids for batch day "), load_day.cast("string")))
+        .cast("long"))
 
 
 def assign_fact_ids(fact: DataFrame, start: int | Column = 0, dense: bool = False) -> DataFrame:
     """Unique immigration_id without a shuffle or a second pass.
 
     Like an identity column the ids have gaps, between tasks. `dense` closes them
-    by storing the rows once and counting them per task.
+    by storing the rows once and counting them per task, whatever their number. A
+    write of more tasks than the layout holds fails and asks for that.
     """
     if dense:
         numbered = dense_keys(fact, "immigration_id", start)
     else:
         base = start if isinstance(start, Column) else F.lit(start).cast("long")
-        numbered = fact.coalesce(_MAX_TASKS).withColumn(
-            "immigration_id", base + F.monotonically_increasing_id())
+        at = F.monotonically_increasing_id()
+        numbered = fact.withColumn(
+            "immigration_id",
+            F.when(at < 1 << _DAY_BITS, base + at).otherwise(F.raise_error(F.lit(
+                "more tasks than ids hold: use assign_fact_ids(dense=True)")).cast("long")))
     return numbered.select(*schemas.TABLES["fact_immigration"].columns)
 
 

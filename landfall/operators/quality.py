@@ -195,6 +195,38 @@ def check_partition_dates(clean: DataFrame) -> None:
     _check_empty(partition_mismatch(clean), "partition date")
 
 
+def undated(clean: DataFrame) -> DataFrame:
+    """Lake partitions that are no date, with their rows."""
+    return (
+        with_load_day(clean).where(F.col("load_day").isNull())
+        .groupBy("year", "month", "arrival_day").agg(F.count("*").alias("rows")))
+
+
+def check_dated(clean: DataFrame) -> None:
+    _check_empty(undated(clean), "existing day of arrival")
+
+
+def accounting(staging: DataFrame, countries: DataFrame, ports: DataFrame) -> DataFrame:
+    """(outcome, arrivals): what becomes of each arrival. The outcomes add up to all.
+
+    undated: its day does not exist; country, port: the first code the lookups lack;
+    loaded: the rest.
+    """
+    country = countries.select(F.col("country_code").alias("_country")).distinct()
+    port = ports.select(F.col("port_code").alias("_port")).distinct()
+    outcome = (
+        F.when(F.col("load_day").isNull(), "undated")
+        .when(F.col("_country").isNull(), "country")
+        .when(F.col("_port").isNull(), "port").otherwise("loaded"))
+    # Counted before the joins: they then see one row per combination of codes.
+    counted = staging.groupBy("load_day", "country_code", "port_code").agg(
+        F.count("*").alias("arrivals"))
+    return (
+        counted.join(country, F.col("country_code") == F.col("_country"), "left")
+        .join(port, F.col("port_code") == F.col("_port"), "left")
+        .groupBy(outcome.alias("outcome")).agg(F.sum("arrivals").alias("arrivals")))
+
+
 def unmatched_codes(staging: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Codes the lookup lacks, with the arrivals the fact loses to each."""
     counted = staging.groupBy(key).agg(F.count("*").alias("arrivals"))

@@ -23,7 +23,12 @@ class JobConfig:
 
     `lookups` maps a staging table to its CSV file and separator. `in_batch` and
     `null_safe` choose the upsert rule (see insert_if_absent); `constraints`
-    checks keys, NOT NULL and lengths of what a batch added.
+    checks keys, NOT NULL and lengths of what a batch added. With `null_safe` a
+    re-run of a day adds no rows whose key holds NULL a second time; without it such
+    rows conflict with nothing and every load adds them again.
+
+    Arrivals whose filed day does not exist belong to no batch. They make the extract
+    fail, unless `undated` names a folder: they are then appended there as Parquet.
     """
 
     database: str
@@ -38,8 +43,11 @@ class JobConfig:
     lookups: dict[str, tuple[str, str]] = field(default_factory=dict)
     warehouse_location: str | None = None
     in_batch: str = "first"
-    null_safe: bool = False
+    null_safe: bool = True
     constraints: bool = True
+    undated: str = ""
+    whole_lake: bool = False
+    allow_empty_days: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -48,7 +56,14 @@ class JobConfig:
 def extract_job(spark: SparkSession, cfg: JobConfig) -> None:
     """Raw arrivals to the lake; latest temperatures to two sorted extracts."""
     raw = readers.read_raw_arrivals(spark, cfg.raw, cfg.raw_format, cfg.raw_months)
-    writers.write_lake(clean_arrivals(raw), cfg.lake)
+    clean = clean_arrivals(raw)
+    no_day = readers.with_load_day(clean).where(F.col("load_day").isNull()).drop("load_day")
+    if cfg.undated:
+        no_day.write.mode("append").parquet(cfg.undated)
+    else:
+        quality.check_dated(clean)
+    dated = readers.with_load_day(clean).where(F.col("load_day").isNotNull()).drop("load_day")
+    writers.write_lake(dated, cfg.lake, cfg.whole_lake)
     with scratch(spark):
         if cfg.country_temps_csv:
             history = readers.read_temps(spark, cfg.country_temps_csv, schemas.COUNTRY_TEMPS)
@@ -59,9 +74,17 @@ def extract_job(spark: SparkSession, cfg: JobConfig) -> None:
 
 
 def setup_job(spark: SparkSession, cfg: JobConfig) -> None:
-    """Empty warehouse tables, then the lookups and temperatures in staging."""
+    """Empty warehouse tables, then the lookups and temperatures in staging.
+
+    A lookup that breaks its table's NOT NULL or length rules ends the job before anything
+    changes.
+    """
+    lookups = readers.read_lookups(spark, cfg.lookups)
+    if cfg.constraints:
+        for table, lookup in lookups.items():
+            quality.check_table(lookup, schemas.TABLES[table], {}, unique=False)
     create_warehouse(spark, cfg.database, cfg.warehouse_location)
-    for table, lookup in readers.read_lookups(spark, cfg.lookups).items():
+    for table, lookup in lookups.items():
         writers.write_staging(lookup, cfg.table(table), truncate=True)
     for table, path in (("staging_city_temperatures", cfg.city_temps),
                         ("staging_country_temperatures", cfg.country_temps)):
@@ -153,16 +176,19 @@ def backfill(spark: SparkSession, cfg: JobConfig, start: datetime.date,
 
 
 def load_range(spark: SparkSession, cfg: JobConfig, start: datetime.date, end: datetime.date,
-               allow_empty_days: bool = False) -> None:
+               allow_empty_days: bool | None = None) -> None:
     """All days of a range as one batch: the number of Spark jobs is that of a
-    single day, and the tables equal those of `backfill` up to surrogate keys.
+    single day. With `null_safe` the dimensions and the fact equal those of `backfill` up
+    to surrogate keys; without it `backfill` adds rows with NULL in a key once a day.
+    Only `load_day` fills staging_immigration.
 
     The lake is read in place instead of being copied to staging, three times in
     all and only the columns needed: for the codes, the days and the fact. Its
     files hold one day each, so the fact is written without a shuffle.
     """
     with scratch(spark):
-        _load_range(spark, cfg, start, end, allow_empty_days)
+        _load_range(spark, cfg, start, end, cfg.allow_empty_days
+                    if allow_empty_days is None else allow_empty_days)
 
 
 def _load_range(spark: SparkSession, cfg: JobConfig, start: datetime.date, end: datetime.date,

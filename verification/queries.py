@@ -422,6 +422,28 @@ def unmatched_codes(spark, sf):
         .union(ports.select(F.lit("port"), "port_code", "arrivals")))
 
 
+@_register
+def extract_accounting(spark, sf):
+    """Every arrival is loaded or has a cause, with some filed under a wrong or no day."""
+    filed = (
+        clean_arrivals(spark_view(spark, sf, "raw_arrivals"))
+        .withColumn("month", F.when(F.col("age") % 7 == 0, 2).otherwise(F.col("month")))
+        .withColumn("arrival_day", F.when(F.col("age") % 11 != 0, F.col("arrival_day"))))
+    return quality.accounting(
+        readers.with_load_day(filed), spark_view(spark, sf, "lookup_countries"),
+        spark_view(spark, sf, "lookup_ports"))
+
+
+@_register
+def fact_ids(spark, sf):
+    """Ids of the fact: how many rows, distinct ids and NULLs."""
+    numbered = facts.batch_fact(
+        _staging(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_ports"))
+    return numbered.agg(
+        F.count("*").alias("fact_rows"), F.count_distinct("immigration_id").alias("ids"),
+        F.count_if(F.col("immigration_id").isNull()).alias("nulls"))
+
+
 # Jobs
 
 
