@@ -7,7 +7,7 @@ each task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def arrivals_on(fact: DataFrame, time: DataFrame, year: int | None = None,
@@ -88,13 +88,29 @@ def demographics_by_origin(fact: DataFrame, ports: DataFrame, countries: DataFra
 
 
 def temp_correlation(fact: DataFrame, ports: DataFrame, countries: DataFrame) -> DataFrame:
-    """Correlation of origin and port temperature over all arrivals."""
+    """Correlation of origin and port temperature over all arrivals.
+
+    Null if one of them is the same for all; arrivals that lack one are left out.
+    """
     origin = countries.select(
         "country_id", F.col("average_temperature").cast("double").alias("origin_temperature"))
     port = ports.select(
         "port_id", F.col("average_temperature").cast("double").alias("port_temperature"))
-    return fact.join(origin, "country_id").join(port, "port_id").agg(
-        F.round(F.corr("origin_temperature", "port_temperature"), 6).alias("correlation"))
+    x, y, n = F.col("origin_temperature"), F.col("port_temperature"), F.col("arrivals")
+    pairs = (_counts(fact, "port_id", "country_id").join(origin, "country_id")
+             .join(port, "port_id").where(x.isNotNull() & y.isNotNull()))
+    # One row of weighted sums; the arrivals are the weights.
+    sums = pairs.agg(*[F.sum(n * v).alias(k) for k, v in (
+        ("n", F.lit(1.0)), ("x", x), ("y", y), ("xx", x * x), ("yy", y * y), ("xy", x * y))])
+
+    def spread(total: str, squares: str) -> Column:
+        found = F.col(squares) - F.col(total) * F.col(total) / F.col("n")
+        # What is left of equal values by rounding is no spread.
+        return F.when(found > 1e-12 * F.col(squares), found)
+
+    both = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    return sums.select(F.round(
+        both / F.sqrt(spread("x", "xx") * spread("y", "yy")), 6).alias("correlation"))
 
 
 def seasonality(fact: DataFrame, ports: DataFrame, time: DataFrame) -> DataFrame:

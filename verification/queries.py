@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,7 +21,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 YEAR, MONTH = 1996, 12
 DAY = datetime.date(1996, 12, 24)
-FIRST_DAY, LAST_DAY = datetime.date(1995, 1, 1), datetime.date(2001, 12, 31)
 # The arrivals before this day are the first batch, the others the second.
 SECOND_BATCH = datetime.date(1998, 1, 1)
 
@@ -87,7 +87,7 @@ def _countries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Tables as a load leaves them: stored once per session and shared by the queries
-# that start from a loaded warehouse. The arrivals are joined anew by each query.
+# that start from a loaded warehouse.
 
 _stored: dict[tuple[str, str, str], str] = {}
 
@@ -125,11 +125,32 @@ def _fact(spark: SparkSession, sf: str) -> DataFrame:
         _staging(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_ports"))
 
 
+def _loaded_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact as a load leaves it: a catalog table partitioned by batch and arrival day."""
+    name = f"landfall_fact_{zlib.crc32(sf.encode())}"
+
+    def write(to: str) -> None:
+        rows = facts.batch_fact(
+            _staging(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_ports"))
+        (rows.hint("rebalance", "load_day", "arrdate").write.mode("overwrite")
+         .partitionBy(*schemas.TABLES["fact_immigration"].partitioned_by)
+         .option("path", to).saveAsTable(name))
+
+    _store(spark, sf, "fact_immigration", write)
+    return spark.table(name)
+
+
 def _lake(spark: SparkSession, sf: str) -> str:
     raw = spark_view(spark, sf, "raw_arrivals")
     return _store(spark, sf, "lake", lambda to: writers.write_lake(clean_arrivals(raw), to))
 
 
+def _lake_days(spark: SparkSession, lake: str) -> tuple[datetime.date, datetime.date]:
+    """First and last arrival day of the lake, from its partition columns."""
+    days = readers.with_load_day(spark.read.parquet(lake))
+    return tuple(days.agg(F.min("load_day"), F.max("load_day")).first())
+
+
 # Scans
 
 
@@ -191,7 +212,7 @@ def decode_visa(spark, sf):
 @_register
 def arrivals_by_month_filter(spark, sf):
     rows = reports.arrivals_on(
-        _fact(spark, sf), _dim(spark, sf, "dim_time"), YEAR, MONTH)
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_time"), YEAR, MONTH)
     return rows.select("country_id", "port_id", "age", "travel_mode", "arrdate", "depdate",
                        "year", "month", "day", "day_of_week")
 
@@ -278,7 +299,7 @@ def staging_count(spark, sf):
 def staging_fact_diff(spark, sf):
     return quality.staging_fact_diff(
         _staging(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_ports"),
-        _fact(spark, sf), _dim(spark, sf, "dim_time"), DAY)
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_time"), DAY)
 
 
 @_register
@@ -368,7 +389,7 @@ def fk_orphans(spark, sf):
     """Orphans of the six foreign keys, and of the codes in the arrivals."""
     tables = {name: _dim(spark, sf, name) for name in (
         "dim_ports", "dim_countries", "dim_time", "dim_airports", "dim_demographics")}
-    tables["fact_immigration"] = _fact(spark, sf)
+    tables["fact_immigration"] = _loaded_fact(spark, sf)
     links = [
         (f"{name}.{fk.column}", tables[name], fk.column, tables[fk.parent], fk.parent_column)
         for name in ("dim_airports", "dim_demographics", "fact_immigration")
@@ -464,9 +485,10 @@ def load_day_counts(spark, sf):
         _city_temps(spark, sf), cfg.table("staging_city_temperatures"), truncate=True)
     writers.write_staging(
         _country_temps(spark, sf), cfg.table("staging_country_temperatures"), truncate=True)
-    jobs.load_range(spark, cfg, FIRST_DAY, LAST_DAY, allow_empty_days=True)
+    first, last = _lake_days(spark, cfg.lake)
+    jobs.load_range(spark, cfg, first, last, allow_empty_days=True)
     tables = warehouse.tables_of(spark, database)
-    codes = dimensions.code_counts(readers.read_days(spark, cfg.lake, FIRST_DAY, LAST_DAY))
+    codes = dimensions.code_counts(readers.read_days(spark, cfg.lake, first, last))
     return quality.reconciliation(
         codes, tables["dim_countries"], tables["dim_ports"], tables["fact_immigration"],
         tables["dim_time"])
@@ -478,45 +500,45 @@ def load_day_counts(spark, sf):
 @_register
 def top_countries(spark, sf):
     return reports.top_countries(
-        _fact(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_time"),
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_time"),
         YEAR, MONTH)
 
 
 @_register
 def top_ports(spark, sf):
     return reports.top_ports(
-        _fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_time"),
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_time"),
         YEAR, MONTH)
 
 
 @_register
 def arrivals_by_dow(spark, sf):
     return reports.arrivals_by_dow(
-        _fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_time"),
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_time"),
         YEAR, MONTH)
 
 
 @_register
 def port_country_counts(spark, sf):
     return reports.port_country_counts(
-        _fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_countries"))
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_countries"))
 
 
 @_register
 def demographics_by_origin(spark, sf):
     return reports.demographics_by_origin(
-        _fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_countries"),
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_countries"),
         _dim(spark, sf, "dim_demographics"))
 
 
 @_register
 def temp_correlation(spark, sf):
     return reports.temp_correlation(
-        _fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_countries"))
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_countries"))
 
 
 @_register
 def seasonality(spark, sf):
     return reports.seasonality(
-        _fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_time"))
+        _loaded_fact(spark, sf), _dim(spark, sf, "dim_ports"), _dim(spark, sf, "dim_time"))
 
