@@ -13,7 +13,7 @@ from landfall.operators import dimensions, quality
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.fact import batch_fact
 from landfall.operators.latest import latest_city_temps, latest_country_temps
-from landfall.plans.warehouse import create_warehouse
+from landfall.plans.warehouse import attach_warehouse, create_warehouse
 from landfall.session import scratch, settle
 from landfall.sources import readers, writers
 
@@ -29,6 +29,9 @@ class JobConfig:
 
     Arrivals whose filed day does not exist belong to no batch. They make the extract
     fail, unless `undated` names a folder: they are then appended there as Parquet.
+
+    The tables lie below `warehouse_location`; a load in another process finds them there,
+    with any catalog. Without it they are known to the session's catalog alone.
     """
 
     database: str
@@ -146,6 +149,7 @@ def load_day(spark: SparkSession, cfg: JobConfig, day: datetime.date) -> None:
     The order is that of the references between the tables. A check that fails
     raises DataQualityError and ends the load.
     """
+    attach_warehouse(spark, cfg.database, cfg.warehouse_location)
     with scratch(spark):
         _load_day(spark, cfg, day)
 
@@ -186,6 +190,7 @@ def load_range(spark: SparkSession, cfg: JobConfig, start: datetime.date, end: d
     all and only the columns needed: for the codes, the days and the fact. Its
     files hold one day each, so the fact is written without a shuffle.
     """
+    attach_warehouse(spark, cfg.database, cfg.warehouse_location)
     with scratch(spark):
         _load_range(spark, cfg, start, end, cfg.allow_empty_days
                     if allow_empty_days is None else allow_empty_days)

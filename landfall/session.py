@@ -81,7 +81,23 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _settled.reset(token)
-        context = spark.sparkContext
         for path in paths:
-            location = context._jvm.org.apache.hadoop.fs.Path(path)
-            location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)
+            remove(spark, path)
+
+
+def _location(spark: SparkSession, path: str):
+    """The file system of a path and the path in it, local or not."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()), location
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, location = _location(spark, path)
+    return system.exists(location)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all below it; nothing if it does not exist."""
+    system, location = _location(spark, path)
+    system.delete(location, True)

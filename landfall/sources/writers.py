@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall import schemas
+from landfall.session import remove
 
 
 def write_lake(df: DataFrame, path: str, whole: bool = False) -> None:
@@ -71,6 +72,12 @@ def partitions_of(spark: SparkSession, table: str) -> list[dict[str, str]]:
     ]
 
 
+def location_of(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
 def overwrite_range(df: DataFrame, table: str, start: datetime.date,
                     end: datetime.date) -> None:
     """Replace the fact rows of all batches from `start` to `end` in one job.
@@ -90,6 +97,7 @@ def overwrite_range(df: DataFrame, table: str, start: datetime.date,
         (str(row.load_day), str(row.arrdate))
         for row in df.select("load_day", "arrdate").distinct().toLocalIterator()
     }
+    folder = location_of(spark, table)
     mode = "spark.sql.sources.partitionOverwriteMode"
     previous = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
@@ -102,3 +110,5 @@ def overwrite_range(df: DataFrame, table: str, start: datetime.date,
             spark.sql(
                 f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
                 f"(load_day = DATE '{part['load_day']}', arrdate = {part['arrdate']})")
+            # The drop leaves the files of a table that an earlier process created.
+            remove(spark, f"{folder}/load_day={part['load_day']}/arrdate={part['arrdate']}")

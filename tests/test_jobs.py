@@ -1,6 +1,9 @@
 import dataclasses
 import datetime
 import json
+import os
+import subprocess
+import sys
 import uuid
 
 import pytest
@@ -17,6 +20,7 @@ from landfall.session import settle
 from landfall.sources import writers
 
 D = datetime.date
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 START, END = D(2016, 1, 1), D(2016, 1, 4)
 
 # (arrival day, country, port, days stayed): MEX's name has two codes, 583 first
@@ -359,3 +363,41 @@ def test_ids_that_do_not_fit_are_an_error(spark):
     df = spark.createDataFrame([(D(2200, 1, 1),)], "load_day date")
     with pytest.raises(Exception, match="no ids for batch day"):
         df.select(day_start(F.col("load_day"))).collect()
+
+
+def test_warehouse_outlives_the_process(spark, extracted, path):
+    """Each command runs in a process of its own, with an in-memory catalog."""
+    folder, file = path("warehouse"), path("apart.json")
+    config = dataclasses.replace(
+        extracted, database="apart", warehouse_location=folder, undated="")
+    with open(file, "w") as out:
+        json.dump(dataclasses.asdict(config), out)
+    environment = os.environ | {"PYSPARK_SUBMIT_ARGS": (
+        "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2 "
+        "--conf spark.sql.session.timeZone=UTC pyspark-shell")}
+
+    def run(*arguments):
+        subprocess.run([sys.executable, "-m", "landfall", *arguments, "--config", file],
+                       cwd=ROOT, env=environment, check=True, timeout=300)
+
+    def loaded():
+        fact = spark.read.parquet(f"{folder}/fact_immigration")
+        ports = spark.read.parquet(f"{folder}/dim_ports")
+        return rows(fact.groupBy("load_day").count()), ports.count()
+
+    run("setup")
+    run("load-day", "--day", "2016-01-01")
+    first = loaded()
+    assert first == ([(START, 3)], 1)
+    run("load-day", "--day", "2016-01-01")
+    assert loaded() == first
+    # A range over loaded days replaces them in tables that another process made.
+    run("load-range", "--start", "2016-01-01", "--end", "2016-01-02")
+    assert loaded() == ([(START, 3), (D(2016, 1, 2), 2)], 2)
+    run("setup")
+    warehouse.attach_warehouse(spark, "apart", folder)
+    try:
+        assert spark.table("apart.fact_immigration").isEmpty()
+        assert spark.table("apart.staging_ports").count() == 4
+    finally:
+        spark.sql("DROP DATABASE apart CASCADE")
