@@ -87,8 +87,8 @@ def _by_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes % np.uint64(buckets)).astype(np.int64)
 
 
-def _asked(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(bucket, block, prints, counts): fingerprints of a block's anchors, and how many."""
+def _hashed(blocks: DataFrame, length: int) -> DataFrame:
+    """(block, hashes, counts): the anchors that a task sees of a block, and how often."""
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
         held: dict[int, list[np.ndarray]] = {}
@@ -97,13 +97,7 @@ def _asked(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
         def sent() -> Iterator[tuple]:
             for block, found in held.items():
                 hashes, counts = np.unique(np.concatenate(found), return_counts=True)
-                bucket = _by_bucket(hashes, buckets)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                for b in np.unique(bucket).tolist():
-                    part = order[edges[b]:edges[b + 1]]
-                    yield (b, block, _fingerprint(hashes[part]).tobytes(),
-                           np.minimum(counts[part], 255).astype(np.uint8).tobytes())
+                yield block, hashes.tobytes(), counts.astype(np.uint32).tobytes()
             held.clear()
 
         for r in records:
@@ -116,7 +110,46 @@ def _asked(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
                 size = 0
         yield from sent()
 
-    return map_rows(blocks, "bucket int, block long, prints binary, counts binary", rows)
+    return map_rows(blocks, "block long, hashes binary, counts binary", rows)
+
+
+def _asked(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
+    """(bucket, block, prints, counts): fingerprints of a block's anchors, and how many.
+
+    The hashes of a block are gathered first. If its documents are scattered over many
+    tasks, each would otherwise put a question of its own to every bucket.
+    """
+
+    def rows(records: Iterator[dict]) -> Iterator[tuple]:
+        hashes: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        block, size = None, 0
+
+        def sent() -> Iterator[tuple]:
+            known, where = np.unique(np.concatenate(hashes), return_inverse=True)
+            total = np.bincount(where, np.concatenate(counts)).astype(np.uint32)
+            bucket = _by_bucket(known, buckets)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for b in np.unique(bucket).tolist():
+                part = order[edges[b]:edges[b + 1]]
+                yield b, block, _fingerprint(known[part]).tobytes(), total[part].tobytes()
+            hashes.clear()
+            counts.clear()
+
+        for r in records:
+            if hashes and (r["block"] != block or size > FINGERPRINTS):
+                yield from sent()
+                size = 0
+            block = r["block"]
+            hashes.append(np.frombuffer(r["hashes"], np.uint64))
+            counts.append(np.frombuffer(r["counts"], np.uint32))
+            size += len(hashes[-1])
+        if hashes:
+            yield from sent()
+
+    dealt = _hashed(blocks, length).repartition("block").sortWithinPartitions("block")
+    return map_rows(dealt, "bucket int, block long, prints binary, counts binary", rows)
 
 
 def _repeated(asked: DataFrame) -> DataFrame:
@@ -144,7 +177,7 @@ def _repeated(asked: DataFrame) -> DataFrame:
                 yield from told(bucket)
             bucket = r["bucket"]
             held.append((r["block"], np.frombuffer(r["prints"], np.uint32),
-                         np.frombuffer(r["counts"], np.uint8)))
+                         np.frombuffer(r["counts"], np.uint32)))
         if held:
             yield from told(bucket)
 
