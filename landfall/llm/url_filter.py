@@ -3,7 +3,9 @@
 Concatenated names such as `cheappills` are split into words by a unigram Viterbi search:
 every part of a token of up to MAX_WORD letters is joined with the counts of the words in
 all page titles, and the likeliest split wins (of equal ones the one with the longer first
-word). Unknown parts cost as a word seen never, falling by a factor of ten a letter.
+word). Seeds and unknown parts have fixed probabilities, those of unknown parts falling by a
+factor of ten a letter: splits depend on the shares of the words, not on how many pages
+there are. Parts that together spell a seed are joined again, so a seed is never split.
 
 Naive Bayes over the segmented words of host and path is trained on all pages: those with
 a word of BLOCK_SEEDS are the blocked class. Words that keep company with seeds thus count
@@ -31,6 +33,11 @@ BLOCK_SEEDS = frozenset(
     "xxx adult escort spam ads adserver track tracker tracking malware phishing warez crack "
     "torrent loan loans replica".split())
 
+#: Least probability of a seed as a word, about that of the hundredth title word of sf0.1.
+SEED_SHARE = 1e-3
+#: Probability of a word never seen, before its letters count.
+UNSEEN_SHARE = 1e-6
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -74,29 +81,43 @@ def title_words(pages: DataFrame) -> DataFrame:
     )
 
 
-def best_split(token: str, cost: dict[tuple[int, int], float], unseen: float) -> list[str]:
-    """The split with the least total cost; `cost` of known (begin, length)."""
+def whole_seeds(words: list[str]) -> list[str]:
+    """`words` with neighbours joined that together are a seed, the longest first."""
+    longest = max(map(len, BLOCK_SEEDS))
+    out, at = [], 0
+    while at < len(words):
+        end = next((e for e in range(min(len(words), at + longest), at + 1, -1)
+                    if "".join(words[at:e]) in BLOCK_SEEDS), at + 1)
+        out.append("".join(words[at:end]))
+        at = end
+    return out
+
+
+def best_split(token: str, cost: dict[tuple[int, int], float]) -> list[str]:
+    """The split with the least total cost, no seed in parts; `cost` of known (begin, length)."""
+
+    def price(begin: int, size: int) -> float:
+        least = min(cost.get((begin, size), math.inf),
+                    size * math.log(10) - math.log(UNSEEN_SHARE))
+        return min(least, -math.log(SEED_SHARE)) if (
+            token[begin:begin + size] in BLOCK_SEEDS) else least
+
     best: list[tuple[float, int]] = [(0.0, 0)]
     for end in range(1, len(token) + 1):
-        best.append(min(
-            (best[end - size][0] + cost.get(
-                (end - size, size), unseen + size * math.log(10)), size)
-            for size in range(1, min(end, MAX_WORD) + 1)))
+        best.append(min((best[end - size][0] + price(end - size, size), size)
+                        for size in range(1, min(end, MAX_WORD) + 1)))
     words = []
     at = len(token)
     while at:
         size = best[at][1]
         words.append(token[at - size:at])
         at -= size
-    return words[::-1]
+    return whole_seeds(words[::-1])
 
 
 def segment(tokens: DataFrame, counts: DataFrame) -> DataFrame:
     """(token, words) of the distinct tokens, by their parts' counts in (word, n)."""
-    counts = counts.unionByName(counts.sparkSession.createDataFrame(
-        [(w, 1) for w in sorted(BLOCK_SEEDS)], "word string, n long")
-    ).groupBy("word").agg(F.sum("n").alias("n"))
-    total = float(counts.agg(F.sum("n")).first()[0] or 0) + 1.0
+    total = float(counts.agg(F.sum("n")).first()[0] or 1)
     # A row for each begin, then one for each part from there.
     parts = tokens.select("token", F.explode(F.sequence(F.lit(1), F.length("token"))).alias(
         "begin")).select("token", "begin", F.explode(F.sequence(F.lit(1), F.least(
@@ -111,7 +132,7 @@ def segment(tokens: DataFrame, counts: DataFrame) -> DataFrame:
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
         for token, found in groupby(records, key=lambda r: r["token"]):
             cost = {(r["begin"], r["size"]): r["cost"] for r in found}
-            yield token, best_split(token, cost, math.log(total))
+            yield token, best_split(token, cost)
 
     return map_rows(every.repartition("token").sortWithinPartitions("token"),
                     "token string, words array<string>", rows)

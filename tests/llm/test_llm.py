@@ -267,6 +267,24 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.where("false")).count() == 0
 
 
+def test_splits_do_not_depend_on_the_size_of_the_table(spark):
+    titles = [("be", 40), ("to", 40), ("t", 30), ("lo", 30), ("an", 40), ("ad", 30), ("s", 30),
+              ("ts", 20), ("por", 30), ("n", 30), ("ware", 30), ("z", 30), ("online", 1),
+              ("word", 600)]
+    tokens = spark.createDataFrame([(t,) for t in sorted(url_filter.BLOCK_SEEDS) + [
+        "onlinebets", "freeads", "wordonline", "zzq", "tobe"]], "token string")
+
+    def splits(times):
+        counts = spark.createDataFrame([(w, n * times) for w, n in titles], "word string, n long")
+        return {r.token: r.words for r in url_filter.segment(tokens, counts).collect()}
+
+    once = splits(1)
+    assert once == splits(1000) == splits(1_000_000)
+    assert all(once[s] == [s] for s in url_filter.BLOCK_SEEDS)
+    assert once["onlinebets"] == ["online", "bets"] and once["wordonline"] == ["word", "online"]
+    assert once["freeads"][-1] == "ads" and once["zzq"] != [] and once["tobe"] == ["to", "be"]
+
+
 def test_sharding(docs, rows, spark, nothing):
     found = sharding.assign(docs, 5).collect()
     assert Counter(r.size for r in found) == Counter(
