@@ -7,10 +7,11 @@ word). Seeds and unknown parts have fixed probabilities, those of unknown parts
 factor of ten a letter: splits depend on the shares of the words, not on how many pages
 there are. Parts that together spell a seed are joined again, so a seed is never split.
 
-Naive Bayes over the segmented words of host and path is trained on all pages: those with
-a word of BLOCK_SEEDS are the blocked class. Words that keep company with seeds thus count
-against a page. Null urls or urls without `://` have no host or path, no words, and are
-allowed. A page is judged by its url alone; pages of one url share the verdict.
+Multinomial naive Bayes over the segmented words of host and path, each as often as it
+occurs, is trained on all pages: those with a word of BLOCK_SEEDS are the blocked class.
+Words that keep company with seeds thus count against a page. Null urls or urls without
+`://` have no host or path, no words, and are allowed. A page is judged by its url alone;
+pages of one url share the verdict.
 """
 
 from __future__ import annotations
@@ -144,26 +145,27 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     urls = pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
     # Each distinct host and path once, with its share of the pages as weight.
     sites = settle(urls.groupBy("host", "path").agg(F.count("*").alias("pages")), "sites")
-    token = F.explode(F.array_distinct(F.filter(
-        F.split(F.lower(F.concat_ws("/", "host", "path")), r"[^\p{L}]+"),
-        lambda t: F.length(t) > 0)))
-    uses = sites.select("host", "path", "pages", token.alias("token"))
+    tokens = F.filter(F.split(F.lower(F.concat_ws("/", "host", "path")), r"[^\p{L}]+"),
+                      lambda t: F.length(t) > 0)
+    uses = sites.select("host", "path", "pages", F.explode(tokens).alias("token"))
     split = settle(segment(uses.select("token").distinct(), title_words(pages)), "segments")
     words = settle(uses.join(split, "token").select(
-        "host", "path", "pages", F.explode("words").alias("word")).distinct(), "words")
+        "host", "path", "pages", F.explode("words").alias("word")
+    ).groupBy("host", "path", "pages", "word").agg(F.count("*").alias("times")), "words")
     seeded = F.max(F.col("word").isin(*BLOCK_SEEDS).cast("int"))
     labelled = words.join(
         words.groupBy("host", "path").agg(seeded.alias("bad")), ["host", "path"])
     counts = settle(labelled.groupBy("word").agg(
-        F.sum(F.col("pages") * F.col("bad")).alias("bad"),
-        F.sum(F.col("pages") * (1 - F.col("bad"))).alias("good")), "counts")
+        F.sum(F.col("pages") * F.col("times") * F.col("bad")).alias("bad"),
+        F.sum(F.col("pages") * F.col("times") * (1 - F.col("bad"))).alias("good")), "counts")
     sums = counts.agg(F.count("*"), F.sum("bad"), F.sum("good")).first()
     kinds, bad, good = sums[0], float(sums[1] or 0), float(sums[2] or 0)
     weight = F.log((F.col("bad") + 1) / (bad + kinds)) - F.log(
         (F.col("good") + 1) / (good + kinds))
     prior = math.log((bad + 1) / (good + 1))
     scores = words.join(counts.select("word", weight.alias("weight")), "word").groupBy(
-        "host", "path").agg((F.sum("weight") + F.lit(prior)).alias("score"))
+        "host", "path").agg((
+            F.sum(F.col("weight") * F.col("times")) + F.lit(prior)).alias("score"))
     by = F.col("score") > 0
     return urls.join(scores, ["host", "path"], "left").select(
         "page_id", "host", "path", matched_rule(F.col("host"), F.col("path"), rules, "text").alias(

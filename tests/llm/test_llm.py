@@ -285,6 +285,21 @@ def test_splits_do_not_depend_on_the_size_of_the_table(spark):
     assert once["freeads"][-1] == "ads" and once["zzq"] != [] and once["tobe"] == ["to", "be"]
 
 
+def test_a_word_counts_as_often_as_a_url_has_it(spark):
+    urls = ["http://good.org/casino/free/free", "http://good.org/news/free", "http://good.org/news",
+            "http://good.org/news/free/free/free/news"]
+    pages = spark.createDataFrame(
+        [(i, u, "<title>good org free news</title>") for i, u in enumerate(urls)],
+        "page_id long, url string, html string")
+    bags = [Counter(re.findall("[a-z]+", u.split("://")[1])) for u in urls]
+    bad, good = bags[0], sum(bags[1:], Counter())
+    kinds, n_bad, n_good = len(bad + good), bad.total(), good.total()
+    for r in url_filter.judge(pages, ()).collect():
+        assert r.score == pytest.approx(np.log((n_bad + 1) / (n_good + 1)) + sum(
+            n * np.log((bad[w] + 1) / (n_bad + kinds) * (n_good + kinds) / (good[w] + 1))
+            for w, n in bags[r.page_id].items()))
+
+
 def test_sharding(docs, rows, spark, nothing):
     found = sharding.assign(docs, 5).collect()
     assert Counter(r.size for r in found) == Counter(
