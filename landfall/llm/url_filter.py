@@ -1,8 +1,8 @@
 """URL filter: rules first, then naive Bayes on the words of host and path.
 
 Concatenated names such as `cheappills` are split into words by a unigram Viterbi search:
-every part of a token of up to MAX_WORD letters is joined with the counts of the words in
-all page titles, and the likeliest split wins (of equal ones the one with the longer first
+every part of a token of up to MAX_WORD letters is joined with the counts of the words of
+all pages, and the likeliest split wins (of equal ones the one with the longer first
 word). Seeds and unknown parts have fixed probabilities, those of unknown parts falling by a
 factor of ten a letter: splits depend on the shares of the words, not on how many pages
 there are. Parts that together spell a seed are joined again, so a seed is never split.
@@ -34,7 +34,7 @@ BLOCK_SEEDS = frozenset(
     "xxx adult escort spam ads adserver track tracker tracking malware phishing warez crack "
     "torrent loan loans replica".split())
 
-#: Least probability of a seed as a word, about that of the hundredth title word of sf0.1.
+#: Least probability of a seed as a word, about that of the hundredth word of sf0.1's pages.
 SEED_SHARE = 1e-3
 #: Probability of a word never seen, before its letters count.
 UNSEEN_SHARE = 1e-6
@@ -72,11 +72,12 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule], value: str)
     return out
 
 
-def title_words(pages: DataFrame) -> DataFrame:
-    """Lower-case words of all titles with their counts."""
-    title = F.lower(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1))
+def page_words(pages: DataFrame) -> DataFrame:
+    """Lower-case words of all pages, without scripts, styles, comments and tags, counted."""
+    text = F.lower(F.regexp_replace(
+        "html", r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<[^<>]*>|&\w+;", " "))
     return (
-        pages.select(F.explode(F.split(title, r"[^\p{L}]+")).alias("word"))
+        pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word"))
         .where((F.length("word") > 0) & (F.length("word") <= MAX_WORD))
         .groupBy("word").agg(F.count("*").alias("n"))
     )
@@ -148,7 +149,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     tokens = F.filter(F.split(F.lower(F.concat_ws("/", "host", "path")), r"[^\p{L}]+"),
                       lambda t: F.length(t) > 0)
     uses = sites.select("host", "path", "pages", F.explode(tokens).alias("token"))
-    split = settle(segment(uses.select("token").distinct(), title_words(pages)), "segments")
+    split = settle(segment(uses.select("token").distinct(), settle(
+        page_words(pages), "page_words")), "segments")
     words = settle(uses.join(split, "token").select(
         "host", "path", "pages", F.explode("words").alias("word")
     ).groupBy("host", "path", "pages", "word").agg(F.count("*").alias("times")), "words")

@@ -300,6 +300,18 @@ def test_a_word_counts_as_often_as_a_url_has_it(spark):
             for w, n in bags[r.page_id].items()))
 
 
+def test_names_are_split_by_words_of_the_whole_page(spark):
+    html = ("<html><title>A Title</title><style>p{color:red}</style><!-- note --><script>var "
+            "x='<p>';</script><body class=big><p>Winner&nbsp;news <b>News</b></p><br></body>")
+    urls = ["http://y.de/winnernews", "http://y.de/winner/news", "http://x.de/winner/casino"]
+    pages = spark.createDataFrame([(i, u, html if i == 0 else None) for i, u in enumerate(urls)],
+                                  "page_id long, url string, html string")
+    score = {r.page_id: r.score for r in url_filter.judge(pages, ()).collect()}
+    assert score[0] == pytest.approx(score[1])
+    assert {r.word: r.n for r in url_filter.page_words(pages).collect()} == {
+        "a": 1, "title": 1, "winner": 1, "news": 2}
+
+
 def test_sharding(docs, rows, spark, nothing):
     found = sharding.assign(docs, 5).collect()
     assert Counter(r.size for r in found) == Counter(
