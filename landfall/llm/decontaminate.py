@@ -5,26 +5,33 @@ mask looks at five of the words that follow a position and ignores those between
 substituted words can fall into its gaps. Equal mask hashes of a test item and a document
 give an alignment; the item's words are then compared with the document's along it. A
 document is contaminated if some WINDOW words of an item in a row (the whole item, if it
-is shorter) agree with it in at least PERCENT of their places.
+is shorter) agree with it in at least PERCENT of their places. Items of 5 to 7 words, in
+which one word may differ, have masks of their own with four places; shorter items must
+agree in full and have one mask of all their words.
 
-Null and empty texts, and items below five words, match nothing. Rows are judged one for
-one by their text; rows that share an id do not mix, copies are judged alike. Without test
+Null texts and texts without words match nothing. Rows are judged one for one by their text; rows that share an id do not mix, copies are judged alike. Without test
 items nothing is contaminated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landfall.session import settle
 
-#: Positions that a mask looks at. Among random substitutions of a fifth of 10, 15 or 20
-#: words, at least one of the three hit in all of 2000 trials each.
+#: Positions that a mask looks at, for items of SHORT words or more: of all substitutions
+#: of a fifth of 8 to 20 words, each leaves a mask whole.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 5), (0, 1, 3, 6, 7))
-SPAN = 1 + max(m[-1] for m in MASKS)
-WINDOW, PERCENT, LEAST_WORDS = 20, 80, 5
+#: For items of EXACT words or more: any one substitution in 5, 6 or 7 words leaves one whole.
+SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))
+EXACT, SHORT = 5, 8
+#: A mask's number is part of its hashes.
+NUMBERS = {m: n for n, m in enumerate(dict.fromkeys(
+    MASKS + SHORT_MASKS + tuple(tuple(range(n)) for n in range(1, EXACT))))}
+WINDOW, PERCENT = 20, 80
 #: Distinct test hashes up to which they are sent to every task (32 MB at most).
 BROADCAST_HASHES = 1_000_000
 
@@ -35,17 +42,23 @@ def word_hashes(text: Column) -> Column:
                        lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, keys: list[str]) -> DataFrame:
+def masks_of(kind: int) -> tuple[tuple[int, ...], ...]:
+    """Masks of the items with `kind` words: 1 to EXACT - 1, or EXACT or SHORT and more."""
+    return MASKS if kind == SHORT else SHORT_MASKS if kind == EXACT else (tuple(range(kind)),)
+
+
+def _seeds(rows: DataFrame, keys: list[str], masks: Sequence[tuple[int, ...]]) -> DataFrame:
     """keys, at, seed: the mask hashes at every position of `words`."""
+    span = 1 + max(m[-1] for m in masks)
     shifts = F.arrays_zip(*[
         F.slice("words", k + 1, F.greatest(F.lit(0), F.size("words") - k)).alias(f"w{k}")
-        for k in range(SPAN)])
+        for k in range(span)])
     at = rows.select(*keys, F.posexplode(shifts).alias("at", "w"))
     # Beyond the end a zipped field is null: the mask does not fit there.
     hashes = F.array(*[
         F.when(F.col(f"w.w{m[-1]}").isNotNull(),
-               F.xxhash64(F.lit(n), *[F.col(f"w.w{k}") for k in m]))
-        for n, m in enumerate(MASKS)])
+               F.xxhash64(F.lit(NUMBERS[m]), *[F.col(f"w.w{k}") for k in m]))
+        for m in masks])
     return at.select(*keys, "at", F.explode(hashes).alias("seed")).where("seed IS NOT NULL")
 
 
@@ -56,23 +69,34 @@ def _agreeing(item: Column, doc: Column, delta: Column) -> Column:
 
 
 def alignments(docs: DataFrame, tests: DataFrame) -> DataFrame:
-    """(doc_id, mark, item_id, delta) of verified overlaps; `mark` is the text's hash."""
+    """(doc_id, mark, item_id, delta) of verified overlaps; `mark` is the text's hash.
+
+    Of the overlaps with an item below EXACT words, which are all alike, a text has the first.
+    """
     mark = F.xxhash64("text")
     tests = tests.select("item_id", word_hashes(F.col("text")).alias("words")).where(
-        F.size("words") >= LEAST_WORDS)
+        F.size("words") > 0)
+    n = F.size("words")
+    kind = F.when(n >= SHORT, SHORT).when(n >= EXACT, EXACT).otherwise(n)
     items = settle(tests.withColumn("item", F.monotonically_increasing_id()), "items")
-    seeds = settle(_seeds(items, ["item"]).withColumnRenamed("at", "begin"), "seeds")
+    # Six kinds at most; documents are asked for the masks of those that there are.
+    kinds = sorted(r[0] for r in items.select(kind).distinct().collect()) or [SHORT]
+    seeds = settle(reduce(DataFrame.unionByName, [
+        _seeds(items.where(kind == k), ["item"], masks_of(k)).withColumn("kind", F.lit(k))
+        for k in kinds]).withColumnRenamed("at", "begin"), "seeds")
     distinct = seeds.select("seed").distinct()
     known = settle(distinct, "hashes")
     few = known.count() <= BROADCAST_HASHES
     rows = docs.select("doc_id", mark.alias("mark"), word_hashes(F.col("text")).alias("words"))
-    asked = _seeds(rows, ["doc_id", "mark"])
+    asked = _seeds(rows, ["doc_id", "mark"],
+                   list(dict.fromkeys(m for k in kinds for m in masks_of(k))))
     # Most seeds of the corpus meet no test: only hashes are compared at first.
     met = settle(asked.join(F.broadcast(known) if few else known, "seed", "left_semi"), "met")
     hits = settle(
         met.join(seeds, "seed")
-        .select("doc_id", "mark", "item", (F.col("at") - F.col("begin")).alias("delta"))
-        .distinct(), "hits")
+        .select("doc_id", "mark", "item", "kind", (F.col("at") - F.col("begin")).alias("delta"))
+        .groupBy("doc_id", "mark", "item", F.when(F.col("kind") >= EXACT, F.col("delta")).alias(
+            "place")).agg(F.min("delta").alias("delta")).drop("place"), "hits")
     words = rows.withColumnRenamed("words", "doc")
     size, window = F.size("words"), F.least(F.lit(WINDOW), F.size("words"))
     # Sums of the agreeing words up to each place give every window's sum.

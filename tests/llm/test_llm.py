@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -173,6 +174,27 @@ def test_decontamination(spark, docs, nothing):
     assert decontaminate.judge(nothing, tests).count() == 0
 
 
+def test_decontamination_of_items_of_each_length(spark):
+    texts, expected = [], []
+    for n in range(1, 21):
+        allowed = n // 5
+        for away in [allowed, allowed + 1] if n < 8 else [allowed]:
+            for places in combinations(range(n), away):
+                item = ["o" if i in places else f"n{n}i{i}" for i in range(n)]
+                texts.append(" ".join(["x", *item, "y", "y"]))
+                expected.append([n] if away == allowed else [])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tests = spark.createDataFrame(
+        [(n, " ".join(f"n{n}i{i}" for i in range(n))) for n in range(1, 21)],
+        "item_id long, text string")
+    got = {r.doc_id: list(r.item_ids) for r in decontaminate.judge(df, tests).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+    often = spark.createDataFrame([(1, "a b c a b a b"), (2, "a c b")], df.schema)
+    pair = spark.createDataFrame([(7, "A b"), (8, "c")], tests.schema)
+    assert sorted((r.doc_id, r.item_id, r.delta) for r in decontaminate.alignments(
+        often, pair).collect()) == [(1, 7, 0), (1, 8, 2), (2, 8, 1)]
+
+
 def counts(text):
     found = WORD.findall(text or "")
     windows = [tuple(found[i:i + 5]) for i in range(len(found) - 4)]
