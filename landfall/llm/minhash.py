@@ -270,21 +270,22 @@ def _row() -> Column:
 def remove_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that stay: one of each group, the one with the smallest id.
 
-    Of rows with one id and one text, one stays. Rows without words all stay.
+    Of rows with one id and one text, one stays. Rows without words all stay, alike or not.
     """
     stays = near_duplicates(docs, size, percent).where("stays").select(
-        F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark")).distinct()
+        F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark"),
+        (F.col("n_shingles") == 0).alias("wordless")).distinct()
     # Clashing column names stay inside the struct.
     rows = docs.select(F.struct(*docs.columns).alias("kept"), F.col("doc_id").cast("long").alias(
         "doc_id"), F.xxhash64("text").alias("mark"))
     kept = rows.join(
-        stays, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark")),
-        "left_semi")
+        stays, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))
+    ).drop("its_id", "its_mark")
     twice = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(
         F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark"))
     again = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))
-    once = kept.join(twice, again, "left_anti").select("kept.*")
-    repeated = kept.join(twice, again, "left_semi").groupBy("doc_id", "mark").agg(
+    once = kept.join(twice, again & ~F.col("wordless"), "left_anti").select("kept.*")
+    repeated = kept.where(~F.col("wordless")).join(twice, again, "left_semi").groupBy("doc_id", "mark").agg(
         F.first("kept").alias("kept")).select("kept.*")
     return once.unionByName(repeated)
 

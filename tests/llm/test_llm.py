@@ -150,6 +150,13 @@ def test_one_row_of_a_group_stays(docs):
     assert ids[None] == 1 and ids[13] == 2 and ids[3] == ids[4] == ids[12] == 1
 
 
+def test_all_rows_without_words_stay(spark):
+    rows = [(None, None, "en"), (None, None, "de"), (None, " ", "fr"), (None, " ", "fr"),
+            (7, "", "en"), (7, "", "de"), (7, words(30, 5), "en"), (7, words(30, 5), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert Counter(map(tuple, minhash.remove_near_duplicates(df).collect())) == Counter(rows[:-1])
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 1000).astype(np.uint64))
