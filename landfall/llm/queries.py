@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.llm import (
-    bpe, decontaminate, minhash, quality_bayes, quality_rules, sharding, suffix_dedup,
-    token_counts, toxicity, url_filter)
+    alignment, bpe, decontaminate, language, minhash, quality_bayes, quality_rules, sharding,
+    spelling, suffix_dedup, token_counts, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,7 +78,27 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
         "mark", "stays")
 
 
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf, "documents"))
+
+
+def op12_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    found = language.label(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score",
+                        F.size("spans").cast("long").alias("n_spans"))
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(
+        _table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_toxicity, op2_quality_rules, op3_token_counts, op4_suffix_dedup, op5_bpe, op6_quality_bayes, op7_url_filter,
-    op8_sharding, op9_decontamination, op10_minhash)}
+    op1_toxicity, op2_quality_rules, op3_token_counts, op4_suffix_dedup, op5_bpe,
+    op6_quality_bayes, op7_url_filter, op8_sharding, op9_decontamination, op10_minhash,
+    op11_spelling, op12_language, op13_alignment)}
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,409 @@
+"""Spelling variants, languages and alignments against plain code, and on awkward rows."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from landfall.llm import alignment, language, spelling
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+DOCS = ("doc_id long, text string, lang string, source string, n_chars long, score string, "
+        "word string, n long, pair long, block long, mark long")
+SF = "/root/testdata/sf0.001"
+
+
+def table(spark, rows):
+    return spark.createDataFrame(
+        [(*r, *["x"] * (3 - len(r)), "s", 1, "y", "z", 1, 1, 1, 1) for r in rows], DOCS)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+# Spelling variants
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    at = 0
+    while at < min(len(a), len(b)) and a[at] == b[at]:
+        at += 1
+    return a[at + (len(a) >= len(b)):] == b[at + (len(b) >= len(a)):]
+
+
+def spelling_rows(texts):
+    """The contract's rows, by comparing all words with all."""
+    found = Counter()
+    for doc_id, text in texts:
+        for run in spelling.re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            if doc_id is not None:
+                h = zlib.crc32(f"{doc_id}:{word}".encode())
+                if h % 31 == 0:
+                    k = h % len(word)
+                    word = word[:k] + word[k + 1:]
+            found[word] += 1
+    known = {w: n for w, n in found.items() if len(w) >= 7 and n >= 2}
+    forms, out = {}, {}
+    for w, n in known.items():
+        near = [v for v in known if one_edit(w, v)]
+        best = min(near, key=lambda v: (-known[v], v), default=None)
+        form = best if best and known[best] >= 10 * n else None
+        forms[w] = form
+        out[w] = [form, w, n, len(near), known[form] if form else None]
+    for w, row in out.items():
+        while forms[row[1]]:
+            row[1] = forms[row[1]]
+    return sorted((w, *row) for w, row in out.items())
+
+
+def variants(docs):
+    found = spelling.group_variants(docs).select(
+        "word", "form", "root", "n", "n_near", "form_n").collect()
+    return sorted(map(tuple, found))
+
+
+@given(st.lists(st.text("abé", min_size=7, max_size=9), min_size=1, max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_neighbourhood_is_complete_and_without_repeats(words):
+    for word in words:
+        listed = [h for found, _ in spelling.neighbourhood([word]) for h in found.tolist()]
+        assert len(listed) == len(set(listed))
+        for other in (word[1:], "b" + word, word[:3] + "x" + word[4:], word[:4] + "é" + word[4:]):
+            assert spelling.reduced([other]).tolist()[0] in set(listed)
+
+
+def test_neighbourhood_of_a_reduced_word():
+    def by_hand(form):
+        found = {form}
+        for i in range(len(form) + 1):
+            for c in range(1, spelling.SYMBOLS + 1):
+                found.add(form[:i] + (c,) + form[i:])
+                if i < len(form):
+                    found |= {form[:i] + form[i + 1:], form[:i] + (c,) + form[i + 1:]}
+        return found
+
+    def hashed(form):
+        return sum(s * pow(spelling._BASE, i, 1 << 64) for i, s in enumerate(form)) % (1 << 64)
+
+    for word in ("aaaaaaa", "abcdefgh", "ééàbzzzc", "m" * 25):
+        points = np.frombuffer(word.encode("utf-32-le"), "<u4")
+        form = tuple(spelling.symbols(points).tolist())
+        listed = [h for found, _ in spelling.neighbourhood([word]) for h in found.tolist()]
+        assert sorted(listed) == sorted(map(hashed, by_hand(form)))
+
+
+def test_variants_against_all_pairs(spark):
+    draw = random.Random(3)
+    base = ["".join(draw.choice("aeinrtsé") for _ in range(draw.randint(6, 10)))
+            for _ in range(25)]
+    # A chain of forms: each step one letter and ten times as many.
+    text = ["wanderer"] * 250 + ["wandererx"] * 22 + ["wandererxy"] * 2
+    for _ in range(900):
+        word = draw.choice(base)
+        if draw.random() < 0.2:
+            k = draw.randrange(len(word))
+            word = word[:k] + draw.choice("aeinrtsé") + word[k + draw.choice((0, 1)):]
+        text.append(draw.choice((word, word.upper())))
+    draw.shuffle(text)
+    texts = [(k, " ".join(text[k * 40:(k + 1) * 40])) for k in range(30)]
+    texts += [(None, " ".join(text[:90])), (None, None), (5, ""), (7, "É" * 8 + " " + "É" * 8),
+              (7, "ab1cdefgh-ijklmno"), (8, "x" * 40_000 + " " + "x" * 40_001), (9, "x" * 40_000),
+              (10, "x" * 40_001), (11, "ǅwordword×÷ wordword×÷ wordword×÷")]
+    found = variants(table(spark, texts).repartition(4))
+    assert found == spelling_rows(texts)
+    assert any(r[1] and r[1] != r[2] for r in found)
+
+
+def test_variants_of_the_given_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assert variants(docs) == spelling_rows([tuple(r) for r in docs.collect()])
+
+
+def test_variants_do_not_depend_on_the_filter(spark, monkeypatch):
+    texts = [(k, "seventeen seventeeen seventen strange stranger") for k in range(40)]
+    wanted = spelling_rows(texts)
+    monkeypatch.setattr(spelling, "WORDS_HELD", 2)
+    monkeypatch.setattr(spelling, "HELD", 10)
+    assert variants(table(spark, texts)) == wanted
+
+
+def test_no_variants(spark, nothing):
+    assert variants(nothing) == []
+    assert variants(table(spark, [(1, None), (2, "short words only"), (None, "")])) == []
+
+
+# Languages
+
+
+def prose(lang, n, seed):
+    draw = random.Random(seed)
+    syllables = {"aa": "ka lo mi tu re", "bb": "schr ung ein lich ver", "ru": "при вет как дел оно",
+                 "el": "καλ ημε ραχ ιος"}[lang].split()
+    return " ".join("".join(draw.choice(syllables) for _ in range(draw.randint(1, 4)))
+                    for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = [(k, prose(lang, 60, k), lang) for k, lang in enumerate(
+        ["aa", "bb", "ru", "el"] * 20)]
+    return language.fit(table(spark, rows))
+
+
+def labelled(docs, model):
+    return {r["doc_id"]: (r["lang_pred"], r["score"], [tuple(s) for s in r["spans"]])
+            for r in language.label(docs, model).collect()}
+
+
+def test_languages_and_spans(spark, model):
+    texts = {lang: prose(lang, 30, 99) for lang in ("aa", "bb", "ru", "el")}
+    mixed = f"{texts['aa']}, {texts['bb']}! {texts['ru']}"
+    rows = [(k, t) for k, t in enumerate(texts.values())] + [(10, mixed), (11, mixed * 3000)]
+    found = labelled(table(spark, rows), model)
+    for k, (lang, text) in enumerate(texts.items()):
+        assert found[k] == (lang, 1.0, [(0, len(text), lang)])
+    a, b = len(texts["aa"]), len(texts["aa"]) + 2 + len(texts["bb"])
+    assert found[10][2] == [(0, a, "aa"), (a + 2, b, "bb"), (b + 2, len(mixed), "ru")]
+    assert 0.3 < found[10][1] < 1
+    assert len(found[11][2]) == 9000 and found[11][0] == found[10][0]
+
+
+def test_path_is_the_best_of_all(model):
+    """Viterbi against trying every labelling."""
+    from itertools import product
+
+    draw = random.Random(4)
+    texts = [" ".join(prose(draw.choice(("aa", "bb")), 1, draw.random()) for _ in range(n))
+             for n in (5, 0, 1, 6, 3)]
+    words = language._Words(texts)
+    scores = model.scores(words)
+    latin = [model.langs.index("aa"), model.langs.index("bb")]
+    labels = language._labels(scores, words.firsts)
+    for i, j in zip(words.firsts, words.firsts[1:]):
+        part = scores[i:j].astype(float)
+
+        def price(path):
+            return (sum(part[k, lang] for k, lang in enumerate(path))
+                    - language.SWITCH * sum(a != b for a, b in zip(path, path[1:])))
+
+        best = max((price(p) for p in product(latin, repeat=j - i)), default=0)
+        assert price(labels[i:j].tolist()) == pytest.approx(best)
+
+
+def test_scores_of_a_word_are_probabilities(spark):
+    """A word's score from counts made by hand, without hashing."""
+    texts = ["abab abc bca cab", "abc ab b a cabab"]
+    model = language.fit(table(spark, [(0, texts[0], "xx"), (1, texts[1], "xx")]))
+    one, two, three = Counter(), Counter(), Counter()
+    for word in " ".join(texts).split():
+        letters = ["<<", "<", *word, "<"]
+        two["<<", "<"] += 1
+        for e, b, c in zip(letters, letters[1:], letters[2:]):
+            one[c] += 1
+            two[b, c] += 1
+            three[e, b, c] += 1
+    total, size, smooth = sum(one.values()), language.SIZES[0], language.SMOOTH
+    wanted = 0
+    for e, b, c in zip("2<abc", "<abc<", "abc<"):
+        e = {"2": "<<"}.get(e, e)
+        p = (one[c] + 0.1) / (total + 0.1 * size)
+        p = (two[b, c] + smooth * p) / (one[b] + smooth)
+        p = (three[e, b, c] + smooth * p) / (two[e, b] + smooth)
+        wanted += np.log(p)
+    got = model.scores(language._Words(["abc"]))
+    assert got[0, 0] == pytest.approx(wanted, rel=1e-4)
+
+
+def test_script_narrows_the_candidates(model):
+    words = language._Words(["приветabc καλ"])
+    scores = model.scores(words)
+    assert [[model.langs[k] for k in np.flatnonzero(np.isfinite(s))] for s in scores] == [
+        ["ru"], ["aa", "bb"], ["el"]]
+    # No language was learnt with this script.
+    assert np.isfinite(model.scores(language._Words(["漢字"]))).all()
+
+
+def test_learns_from_three_folds_only(spark):
+    held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 4 == 2]
+    rows = [(k, prose("aa", 20, k), "aa" if k not in held else "trap") for k in range(200)]
+    rows += [(None, "x y z", "trap2"), (1, prose("bb", 30, 1), None), (3, None, "trap3")]
+    assert language.fit(table(spark, rows)).langs == ["aa"]
+    flags = table(spark, rows).select("doc_id", language.held_out().alias("h")).collect()
+    assert {r["doc_id"] for r in flags if r["h"]} == set(held)
+
+
+def test_sample_is_bounded_by_rows(spark):
+    docs = table(spark, [(1, "same text", "aa")] * 50 + [(1, f"text {k}", "aa") for k in range(50)])
+    model = language.fit(docs, rows=10)
+    assert model.orders[0].sum() <= 10 * 9
+
+
+def test_awkward_texts(spark, model, nothing):
+    rows = [(1, None), (2, ""), (3, "12 345 !?"), (None, prose("ru", 9, 5)), (5, "ка" * 300_000),
+            (6, "ab́cd"), (6, "́"), (7, "ⅷ 漢字")]
+    found = language.label(table(spark, rows), model)
+    got = [(r["doc_id"], r["lang_pred"]) for r in found.collect()]
+    assert Counter(got)[1, "und"] == Counter(got)[2, "und"] == Counter(got)[3, "und"] == 1
+    assert (None, "ru") in got and (5, "ru") in got and (6, "und") in got
+    assert labelled(nothing, model) == {}
+    assert language.fit(nothing).langs == []
+    assert labelled(table(spark, [(1, "some words")]), language.Model({})) == {1: ("und", 0.0, [])}
+
+
+def test_held_out_languages(spark):
+    """Accuracy on the given documents that were not learnt from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language.label(docs, language.fit(docs)).join(
+        docs.select("doc_id", "lang"), "doc_id").where(language.held_out())
+    right, all_ = found.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert right >= 0.97 * all_
+
+
+# Alignment
+
+
+@pytest.fixture(scope="module")
+def tokenizers():
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    return a, SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def alignment_rows(texts, tokenizers):
+    """The contract's rows, by comparing the bytes of all pairs of tokens of a text."""
+    a, b = tokenizers
+    tokens, holders = [], defaultdict(set)
+    for row, (_, text) in enumerate(texts):
+        tokens.append(None)
+        if not text:
+            continue
+        wanted = (" " + text).encode()
+        first = a.encode(" " + text, add_special_tokens=False)
+        # Byte-level tokens: the letters stand for bytes.
+        alphabet = {chr(c): c for c in [*range(33, 127), *range(161, 173), *range(174, 256)]}
+        alphabet |= {chr(256 + k): c for k, c in enumerate(
+            c for c in range(256) if c not in set(alphabet.values()))}
+        bytes_a = [bytes(alphabet[c] for c in t) for t in first.tokens]
+        ids_b = b.encode(text)
+        bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+                   for i, p in ((i, b.id_to_piece(i)) for i in ids_b)]
+        if b"".join(bytes_a) != wanted or b"".join(bytes_b) != wanted:
+            continue
+        spans = []
+        for ids, parts in ((first.ids, bytes_a), (ids_b, bytes_b)):
+            ends = np.cumsum([len(p) for p in parts]).tolist()
+            spans.append([(i, e - len(p), e) for i, p, e in zip(ids, parts, ends)])
+        links = [(i, j) for i, s, e in spans[0] for j, t, f in spans[1] if s < f and t < e]
+        tokens[row] = spans, links
+        for pair in links:
+            holders[pair].add(row)
+    count = {pair: len(rows) for pair, rows in holders.items()}
+    top = defaultdict(int)
+    for (i, _), n in count.items():
+        top[i] = max(top[i], n)
+    out = []
+    for (doc_id, _), found in zip(texts, tokens):
+        if not found:
+            out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        (left, right), links = found
+        shared = sorted({e for *_, e in left} & {e for *_, e in right})
+        groups, begin = [], 0
+        for end in shared:
+            groups.append("|".join(",".join(str(i) for i, s, e in side if begin < e <= end)
+                                   for side in (left, right)))
+            begin = end
+        out.append((doc_id, len(left), len(right), len(shared), len(links),
+                    sum(count[p] == top[p[0]] for p in links), sum(count[p] for p in links),
+                    hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def aligned(docs, **options):
+    return alignment.align(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"), **options)
+
+
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+           "groups_sha256")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    draw = random.Random(8)
+    letters = "etaoin shrdlu  \n\té漢🙂.,'0123▁<|"
+    found = [(k, "".join(draw.choice(letters) for _ in range(draw.randint(1, 90))))
+             for k in range(40)]
+    found += [(k, f"the the the cat sat on the mat {k % 3} " * (1 + k % 5)) for k in range(40, 60)]
+    return found + [
+        (60, None), (61, ""), (62, " "), (63, "<|endoftext|> </s> <s> <0x41>"), (None, "the cat"),
+        (None, "the cat"), (40, "the cat"), (64, "x" * 300), (65, "don't  you'll\r\n\x00\x01  ")]
+
+
+def test_alignment_against_all_pairs(spark, texts, tokenizers):
+    got = sorted(map(tuple, aligned(table(spark, texts).repartition(3)).select(
+        *COLUMNS).collect()), key=str)
+    assert got == alignment_rows(texts, tokenizers)
+
+
+def test_alignment_in_small_blocks(spark, texts, tokenizers, monkeypatch):
+    """Many blocks, and containers of bits, as of much larger tables."""
+    many = [(k, text) for k, (_, text) in enumerate(texts * 4)]
+    wanted = alignment_rows(many, tokenizers)
+    for docs, size in ((1024, 1 << 22), (16, 1 << 22), (1024, 100)):
+        monkeypatch.setattr(alignment, "DOCS", docs)
+        monkeypatch.setattr(alignment, "BYTES", size)
+        got = sorted(map(tuple, aligned(table(spark, many).coalesce(2)).select(
+            *COLUMNS).collect()), key=str)
+        assert got == wanted
+
+
+def test_groups_themselves(spark, texts):
+    found = aligned(table(spark, texts), with_groups=True).collect()
+    for r in found:
+        if r["groups"] is None:
+            assert r["n_a"] == 0 and r["groups_sha256"] == ""
+        else:
+            assert hashlib.sha256(r["groups"].encode()).hexdigest() == r["groups_sha256"]
+            assert r["groups"].count(";") + 1 == r["n_groups"]
+
+
+@pytest.mark.parametrize("slots", [[], [0], [3, 9], list(range(64)), list(range(0, 1024, 3)),
+                                   list(range(1024)), [1023]])
+def test_containers(slots):
+    assert alignment._slots(alignment._container(np.array(slots, np.int64))).tolist() == slots
+
+
+def test_byte_level_tokens_are_those_of_the_file(tokenizers):
+    """The faster engine against the library, over all code points in several settings."""
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
+        engine = alignment.ByteLevel(file.read(), public_tokenizers.PATTERN)
+    for low in range(0, 0x110000, 64):
+        text = "".join(f" a{chr(c)}1 {chr(c)}{chr(c)}. " for c in range(low, low + 64)
+                       if not 0xD800 <= c < 0xE000)
+        assert engine.encode(text) == tokenizers[0].encode(text, add_special_tokens=False).ids
+
+
+def test_nothing_to_align(spark, nothing):
+    assert aligned(nothing).collect() == []
+    assert [tuple(r)[1:7] for r in aligned(table(spark, [(1, None)])).collect()] == [(0,) * 6]
+
+
+def test_long_text(spark):
+    r = aligned(table(spark, [(1, "word of a long text, " * 60_000), (2, "word")])).where(
+        "doc_id = 1").first()
+    assert r["n_links"] >= r["n_a"] and r["n_groups"] > 60_000
