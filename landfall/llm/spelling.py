@@ -137,7 +137,7 @@ def neighbourhood(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         longer = before[:, :-1] + np.uint64(symbol) * powers[:length] + (
             whole - before[:, :-1]) * _B
         yield longer[other], number[other]
-        yield whole[:, 0] + np.uint64(symbol) * powers[length:], number[:, 0]
+        yield whole[:, 0] + np.uint64(symbol) * powers[length:length + 1], number[:, 0]
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[list[int], list[str]]]:
