@@ -6,6 +6,7 @@ A word is a maximal run of characters that are no ASCII white space,
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -93,16 +94,39 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Iterat
         size = 0
         for row in rows(records()):
             out.append(row)
-            size += sum(len(v) for v in row if isinstance(v, (str, bytes)))
+            size += sum(map(_weight, row))
             if len(out) >= flush or size > 1 << 22:
                 yield _batch(out, names, types)
                 out, size = [], 0
         if out:
             yield _batch(out, names, types)
+        out.clear()
+        _release()
 
     return df.mapInArrow(run, schema)
 
 
+def _weight(value: object) -> int:
+    """About the bytes of a value, those inside it included."""
+    if isinstance(value, (str, bytes)):
+        return len(value)
+    if isinstance(value, dict):
+        return sum(map(_weight, value.values()))
+    if isinstance(value, (list, tuple)):
+        plain = not value or isinstance(value[0], (int, float))
+        return 8 * len(value) if plain else sum(map(_weight, value))
+    return 0
+
+
+def _release() -> None:
+    """Give back what a task has freed: the worker lives on and takes tasks of other
+    stages, which count together with it against the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(

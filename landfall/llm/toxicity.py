@@ -16,17 +16,16 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from landfall.llm.blocks import ddl
 from landfall.llm.labels import SAMPLE_ROWS, fold, labelled_sample
-from landfall.llm.text import map_rows
 from landfall.session import settle
 
 #: Most words of the lexicon, which every task holds.
@@ -128,15 +127,15 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
 
 def _with_features(docs: DataFrame, lexicon: dict[str, float], keep: Sequence[str]
                    ) -> DataFrame:
-    """kept (a struct of the columns to keep), doc_id, features."""
-    inputs = docs.select(F.struct(*keep).alias("kept"), "doc_id", "text")
+    """kept (a struct of the columns to keep), doc_id, features.
 
-    def rows(records: Iterator[dict]) -> Iterator[tuple]:
-        for record in records:
-            yield record["kept"], record["doc_id"], features(record["text"], lexicon)
+    Only the text goes to the Python workers and only the features come back."""
+    @F.pandas_udf("array<double>")
+    def dense(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: features(text, lexicon))
 
-    return map_rows(inputs, f"{ddl(inputs, ['kept', 'doc_id'])}, x array<double>", rows
-                    ).select("kept", "doc_id", array_to_vector("x").alias("features"))
+    return docs.select(F.struct(*keep).alias("kept"), "doc_id",
+                       array_to_vector(dense("text")).alias("features"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
