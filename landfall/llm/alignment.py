@@ -62,8 +62,8 @@ class ByteLevel:
         self.engine = tiktoken.Encoding(
             "byte_level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> list[int]:
-        return self.engine.encode_ordinary(text)
+    def encode(self, text: str) -> np.ndarray:
+        return self.engine.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
 
 
 class Pieces:
@@ -81,49 +81,63 @@ class Pieces:
             return bytes([int(piece[3:5], 16)])
         return b"" if self.engine.is_control(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, text: str) -> list[int]:
-        return self.engine.encode(text)
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.engine.encode(text), np.int64)
 
 
 class _Side:
-    """Ids of one tokenizer with what is looked up for each."""
+    """One tokenizer with what is looked up for each of its ids."""
 
-    def __init__(self, tokens: ByteLevel | Pieces, last: bytes):
-        self.encode, self.spelt = tokens.encode, tokens.spelt
+    def __init__(self, tokens: ByteLevel | Pieces):
+        self.encode = tokens.encode
+        self.spelt = np.array(tokens.spelt, object)
         self.lengths = np.array([len(s) for s in tokens.spelt], np.int64)
-        self.inner = [b"%d," % i for i in range(len(tokens.spelt))]
-        self.last = [b"%d" % i + last for i in range(len(tokens.spelt))]
 
-    def spells(self, ids: list[int], wanted: bytes) -> bool:
-        return b"".join(map(self.spelt.__getitem__, ids)) == wanted
+    def ends(self, text: str, wanted: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and the byte after each token, if the tokens spell the wanted bytes."""
+        ids = self.encode(text)
+        ends = np.cumsum(self.lengths[ids])
+        if not len(ids) or ends[-1] != len(wanted) or b"".join(self.spelt[ids]) != wanted:
+            return None
+        return ids, ends
 
-    def shown(self, ids: list[int], closes: np.ndarray) -> list[bytes]:
-        return [(self.last if c else self.inner)[i]
-                for i, c in zip(ids, closes.tolist(), strict=True)]
 
+def _shown(a: _Side, b: _Side) -> np.ndarray:
+    """Ids as the groups' text has them: of the first tokenizer within a group and at its
+    end, then of the second."""
+    return np.array([
+        shape % i for side, shapes in ((a, (b"%d,", b"%d|")), (b, (b"%d,", b"%d;")))
+        for i in range(len(side.spelt)) for shape in shapes], object)
 
-def _aligned(a: _Side, b: _Side, text: str | None):
-    """(n_a, n_b, n_groups, n_links, groups as text, pairs, links of each) or None."""
+
+def _aligned(a: _Side, b: _Side, shown: np.ndarray, text: str | None):
+    """(n_a, n_b, n_groups, n_links, groups as text, the pair of each link) or None."""
     if not text:
         return None
     wanted = b" " + to_bytes(text)
-    first, second = a.encode(" " + text), b.encode(text)
-    if not (a.spells(first, wanted) and b.spells(second, wanted)):
+    first, second = a.ends(" " + text, wanted), b.ends(text, wanted)
+    if first is None or second is None:
         return None
-    ids_a, ids_b = np.array(first, np.int64), np.array(second, np.int64)
-    ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
-    ends = np.union1d(ends_a, ends_b)
-    pairs = (ids_a[np.searchsorted(ends_a, ends)] * len(b.spelt)
-             + ids_b[np.searchsorted(ends_b, ends)])
-    shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    closes_a, closes_b = np.isin(ends_a, shared), np.isin(ends_b, shared)
+    (ids_a, ends_a), (ids_b, ends_b) = first, second
+    # 1 where a token of the first ends, 2 for the second, 3 for both.
+    marks = np.zeros(len(wanted) + 1, np.uint8)
+    marks[ends_a] = 1
+    marks[ends_b] += 2
+    marks = marks[np.flatnonzero(marks)]
+    of_a, of_b, both = (marks & 1).astype(bool), marks > 1, marks == 3
+    # Tokens that have ended before: the one that covers the last byte is the next.
+    at_a, at_b = np.cumsum(of_a) - of_a, np.cumsum(of_b) - of_b
+    pairs = ids_a[at_a] * len(b.spelt) + ids_b[at_b]
     # A group's ids of the first tokenizer stand before those of the second.
-    side = np.concatenate([2 * (np.cumsum(closes_a) - closes_a),
-                           2 * (np.cumsum(closes_b) - closes_b) + 1])
-    shown = a.shown(first, closes_a) + b.shown(second, closes_b)
-    groups = b"".join([shown[k] for k in np.argsort(side, kind="stable").tolist()])[:-1]
-    found, links = np.unique(pairs, return_counts=True)
-    return len(first), len(second), len(shared), len(ends), groups, found, links
+    group = np.cumsum(both) - both
+    until_a, until_b = at_a[both] + 1, at_b[both] + 1
+    before_b = np.concatenate([[0], until_b])
+    items = np.empty(len(ids_a) + len(ids_b), np.int64)
+    items[np.arange(len(ids_a)) + before_b[group[of_a]]] = 2 * ids_a + both[of_a]
+    items[np.arange(len(ids_b)) + until_a[group[of_b]]] = (
+        2 * (len(a.spelt) + ids_b) + both[of_b])
+    groups = b"".join(shown[items])[:-1]
+    return len(ids_a), len(ids_b), len(until_a), len(marks), groups, pairs
 
 
 def _container(slots: np.ndarray) -> bytes:
@@ -141,13 +155,12 @@ def _slots(container: bytes) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(container, np.uint8)))
 
 
-def _inverted(found: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple]:
-    """(pair, n_docs, docs, planes) for each pair of a block, from its documents."""
-    pairs = np.concatenate([p for _, p, _ in found])
-    order = np.argsort(pairs, kind="stable")
-    pairs = pairs[order]
-    slots = np.repeat([s for s, _, _ in found], [len(p) for _, p, _ in found])[order]
-    more = np.concatenate([n for _, _, n in found])[order] - 1
+def _inverted(found: list[tuple[int, np.ndarray]]) -> Iterator[tuple]:
+    """(pair, n_docs, docs, planes) for each pair of a block, from its documents' links."""
+    links = np.sort(np.concatenate([pairs * DOCS + slot for slot, pairs in found]))
+    firsts = np.flatnonzero(np.concatenate([[True], links[1:] != links[:-1]]))
+    pairs, slots = np.divmod(links[firsts], DOCS)
+    more = np.diff(firsts, append=len(links)) - 1
     starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
     ends = np.append(starts[1:], len(pairs))
     most = np.maximum.reduceat(more, starts)
@@ -190,16 +203,16 @@ def _encoded(docs: DataFrame, byte_file: str, pattern: str, model: bytes,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        a = _Side(ByteLevel(byte_file, pattern), b"|")
-        b = _Side(Pieces(model), b";")
+        a, b = _Side(ByteLevel(byte_file, pattern)), _Side(Pieces(model))
+        shown = _shown(a, b)
         first = TaskContext.get().partitionId() << 33
         for number, block in enumerate(blocks(batches), first):
             rows, found = [], []
             for slot, (doc_id, text) in enumerate(block):
-                got = _aligned(a, b, text)
+                got = _aligned(a, b, shown, text)
                 n_a, n_b, n_groups, n_links, groups = got[:5] if got else (0, 0, 0, 0, b"")
                 if got:
-                    found.append((slot, *got[5:]))
+                    found.append((slot, got[5]))
                 rows.append((
                     number, None, None, None, None, slot, doc_id, n_a, n_b, n_groups, n_links,
                     hashlib.sha256(groups).hexdigest() if got else "",
@@ -299,7 +312,8 @@ def align(docs: DataFrame, byte_path: str, pattern: str, piece_path: str,
         return F.lit(None).cast(stored.schema[name].dataType).alias(name)
 
     per_doc = ["slot", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups"]
-    sent = postings.join(scored, "pair").select(
+    # By merging at any size: a small table of pairs would be broadcast, a large one not.
+    sent = postings.join(scored.hint("merge"), "pair").select(
         "block", "docs", "planes", "count", "best", *[none(c) for c in per_doc])
     heads = stored.where("pair IS NULL").select(
         "block", none("docs"), none("planes"), F.lit(None).cast("long").alias("count"),
