@@ -99,13 +99,11 @@ def alignments(docs: DataFrame, tests: DataFrame) -> DataFrame:
             "place")).agg(F.min("delta").alias("delta")).drop("place"), "hits")
     words = rows.withColumnRenamed("words", "doc")
     size, window = F.size("words"), F.least(F.lit(WINDOW), F.size("words"))
-    # Sums of the agreeing words up to each place give every window's sum.
-    sums = F.aggregate(
-        _agreeing(F.col("words"), F.col("part"), F.col("shift")),
-        F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
+    # Each window is summed by itself: the cost is linear in the item's length.
+    agreeing = _agreeing(F.col("words"), F.col("part"), F.col("shift"))
     enough = F.exists(
-        F.sequence(F.lit(0), size - window),
-        lambda b: 100 * (F.get("sums", (b + window).cast("int")) - F.get("sums", b.cast("int")))
+        F.sequence(F.lit(1), size - window + 1),
+        lambda b: 100 * F.aggregate(F.slice("agreeing", b, window), F.lit(0), lambda s, x: s + x)
         >= PERCENT * window)
     first = F.greatest(F.lit(0), F.col("delta"))
     return (
@@ -115,7 +113,7 @@ def alignments(docs: DataFrame, tests: DataFrame) -> DataFrame:
         .select("doc_id", "mark", "item_id", "delta", "words",
                 F.slice("doc", first + 1, size).alias("part"),
                 (F.col("delta") - first).alias("shift"))
-        .withColumn("sums", sums).where(enough)
+        .withColumn("agreeing", agreeing).where(enough)
         .select("doc_id", "mark", "item_id", "delta").distinct()
     )
 

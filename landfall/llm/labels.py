@@ -21,8 +21,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str,
     """(doc_id, text, label 0/1, fold) of at most `rows` labelled documents, stored.
 
     The rows are those with the smallest hash of their id, never of fold 2. Null ids or
-    labels are left out; an id with several labels has the largest. Documents that share
-    an id all count.
+    labels are left out; an id with several labels has the largest. Of documents that share
+    an id one counts, that with the smallest hash of its text, so the bound is one of rows.
     """
     picked = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -33,4 +33,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str,
     )
     # At most `rows` ids, by the limit just above.
     few = F.broadcast(settle(picked, "labelled"))
-    return settle(docs.select("doc_id", "text").join(few, "doc_id").coalesce(64), "sample")
+    found = docs.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id").agg(F.min(
+        F.struct(F.xxhash64("text").alias("mark"), "text", "label", "fold")).alias("row"))
+    return settle(found.select("doc_id", "row.text", "row.label", "row.fold").coalesce(64),
+                  "sample")

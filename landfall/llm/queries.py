@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from landfall.llm import (
     alignment, bpe, decontaminate, language, minhash, quality_bayes, quality_rules, sharding,
     spelling, suffix_dedup, token_counts, toxicity, url_filter)
+from landfall.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,4 +102,3 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_quality_rules, op3_token_counts, op4_suffix_dedup, op5_bpe,
     op6_quality_bayes, op7_url_filter, op8_sharding, op9_decontamination, op10_minhash,
     op11_spelling, op12_language, op13_alignment)}
-ORACLES: dict[str, str] = {}

@@ -1,11 +1,13 @@
 """Sharding by a hierarchical weighted hash tree.
 
-A cluster is a tree of regions, racks and shards; shards carry weights. Each shard draws
-an exponential value for a row from the hash of the key, the smaller the likelier for a
-larger weight, and a node's draw is the smallest below it: an exponential draw at the
-node's summed weight. A row descends by taking the child with the smallest draw at each
-level. So a node receives rows in proportion to its weight, and a changed weight moves
-rows only into or out of the subtree that it belongs to; a new shard only takes rows.
+A cluster is a tree of regions, racks and shards; shards carry weights, and a node has
+those of the shards below it, summed. A row goes down level by level: each child of the
+node that it has reached draws an exponential value from the hash of level, child and key,
+the smaller the likelier for a larger weight, and the smallest draw wins. So a node receives
+rows in proportion to its weight. A child's draw depends on its own weight alone, so a
+changed weight moves rows only into or out of the region that holds it, and among the rows
+that stay in the region only into or out of its rack, and so on. By default one more shard
+comes as a region of its own: it then takes rows only into itself.
 
 The law is `key`: the row's key and the tree alone decide. Null keys draw like any other
 value and so share a shard; rows of equal keys do as well. Slots number the rows of a
@@ -35,47 +37,63 @@ def even_tree(shards: int, racks_per_region: int = 3, shards_per_rack: int = 4)
             for i in range(shards)]
 
 
-def _draw(key: Column, leaf: Shard) -> Column:
-    """An exponential draw of rate `leaf.weight`, from 53 bits of the hash."""
-    h = F.shiftrightunsigned(F.xxhash64(F.lit(leaf.shard), key, F.lit(0x5EED)), 11)
-    uniform = (h.cast("double") + 0.5) / float(2**53)
-    return -F.log(uniform) / F.lit(leaf.weight)
+def more(tree: list[Shard]) -> list[Shard]:
+    """The tree with one more shard, in a region and a rack of its own."""
+    return [*tree, Shard(1 + max(t.region for t in tree), 1 + max(t.rack for t in tree),
+                         1 + max(t.shard for t in tree))]
 
 
-def descend(tree: list[Shard], key: Column) -> Column:
-    """The shard that `key` reaches: region, then rack, then shard with the smallest draw."""
+def _winner(key: Column, level: int, children: dict[int, float]) -> Column:
+    """The child with the smallest draw: exponential, of the rate of its weight, from 53 bits
+    of the hash; of equal draws the smaller number."""
+    def draw(child: int) -> Column:
+        h = F.shiftrightunsigned(
+            F.xxhash64(F.lit(level), F.lit(child), key, F.lit(0x5EED)), 11)
+        uniform = (h.cast("double") + 0.5) / float(2**53)
+        return F.struct((-F.log(uniform) / F.lit(children[child])).alias("draw"),
+                        F.lit(child).alias("child"))
+
+    drawn = [draw(c) for c in sorted(children)]
+    return drawn[0]["child"] if len(drawn) == 1 else F.least(*drawn)["child"]
+
+
+def descend(rows: DataFrame, tree: list[Shard], key: Column, name: str) -> DataFrame:
+    """Adds the shard that `key` reaches, as `name`: a region wins first, then one of its
+    racks, then one of the rack's shards; only children of the winner draw."""
     leaves = [leaf for leaf in tree if leaf.weight > 0]
     if not leaves:
         raise ValueError("a tree needs a shard with a weight")
-
-    def smallest(children: list[Column]) -> Column:
-        return children[0] if len(children) == 1 else F.least(*children)
-
-    # least() compares structs field by field: the draw decides, the ids break ties.
-    racks: dict[tuple[int, int], list[Column]] = {}
-    for leaf in leaves:
-        racks.setdefault((leaf.region, leaf.rack), []).append(
-            F.struct(_draw(key, leaf).alias("draw"), F.lit(leaf.shard).alias("shard")))
-    regions: dict[int, list[Column]] = {}
-    for (region, _), children in sorted(racks.items()):
-        regions.setdefault(region, []).append(smallest(children))
-    return smallest([smallest(children) for _, children in sorted(regions.items())])["shard"]
+    steps = [lambda t: (), lambda t: (t.region,), lambda t: (t.region, t.rack)]
+    numbers = [lambda t: t.region, lambda t: t.rack, lambda t: t.shard]
+    for level, (above, number) in enumerate(zip(steps, numbers, strict=True)):
+        nodes: dict[tuple, dict[int, float]] = {}
+        for leaf in leaves:
+            children = nodes.setdefault(above(leaf), {})
+            children[number(leaf)] = children.get(number(leaf), 0.0) + leaf.weight
+        found = F.lit(None).cast("int")
+        for path, children in nodes.items():
+            here = F.lit(True)
+            for k, step in enumerate(path):
+                here &= F.col(f"{name}_{k}") == step
+            found = F.when(here, _winner(key, level, children)).otherwise(found)
+        rows = rows.withColumn(f"{name}_{level}", found)
+    return rows.withColumnRenamed(f"{name}_2", name).drop(f"{name}_0", f"{name}_1")
 
 
 def assign(docs: DataFrame, shards: int = 24, tree: list[Shard] | None = None,
            grown: list[Shard] | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot and the shard in the `grown` tree."""
+    """doc_id, size, text_crc32, law, shard, slot and the shard in the `grown` tree, by
+    default that of one more shard. Runs Spark jobs when called."""
     tree = tree or even_tree(shards)
-    grown = grown or even_tree(len(tree) + 1)
+    grown = grown or more(tree)
     key, text = F.col("doc_id"), F.coalesce("text", F.lit("")).cast("binary")
-    placed = docs.select(
+    sized = docs.select(
         "doc_id",
         (F.length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.lit("key").alias("law"),
-        descend(tree, key).cast("int").alias("shard"),
-        descend(grown, key).cast("int").alias("grown_shard"),
     )
+    placed = descend(descend(sized, tree, key, "shard"), grown, key, "grown_shard")
     return number(placed, "shard", ["doc_id", "size", "text_crc32"])
 
 

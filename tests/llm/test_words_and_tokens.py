@@ -10,7 +10,9 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from landfall.llm import alignment, language, spelling
+import xxhash
+
+from landfall.llm import alignment, decontaminate, language, sharding, spelling
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, score string, "
@@ -407,3 +409,94 @@ def test_long_text(spark):
     r = aligned(table(spark, [(1, "word of a long text, " * 60_000), (2, "word")])).where(
         "doc_id = 1").first()
     assert r["n_links"] >= r["n_a"] and r["n_groups"] > 60_000
+
+
+# Sharding by levels
+
+
+def reached(tree, key):
+    """Region, rack and shard of a key, drawn anew in plain code."""
+    path = ()
+    for level, number in enumerate((lambda t: t.region, lambda t: t.rack, lambda t: t.shard)):
+        weights = defaultdict(float)
+        for leaf in tree:
+            if (leaf.region, leaf.rack)[:level] == path:
+                weights[number(leaf)] += leaf.weight
+        best = None
+        for child in sorted(weights):
+            h = 42
+            for value, size in ((level, 4), (child, 4), (key, 8), (0x5EED, 4)):
+                if value is not None:
+                    h = xxhash.xxh64_intdigest(value.to_bytes(size, "little", signed=True), h)
+            draw = -np.log(((h >> 11) + 0.5) / 2.0**53) / weights[child]
+            best = min(best or (draw, child), (draw, child))
+        path = (*path, best[1])
+    return path
+
+
+def shards_of(spark, tree, n=4000):
+    found = sharding.descend(spark.range(n), tree, F.col("id"), "shard")
+    assert found.columns == ["id", "shard"]
+    return {r["id"]: r["shard"] for r in found.collect()}
+
+
+def test_descent_against_plain_draws(spark):
+    tree = [*sharding.even_tree(24), sharding.Shard(5, 9, 30, 3.5)]
+    found = shards_of(spark, tree, 500)
+    assert found == {k: reached(tree, k)[2] for k in range(500)}
+    none = sharding.descend(spark.sql("SELECT CAST(NULL AS BIGINT) AS id"), tree, F.col("id"), "s")
+    assert none.first()["s"] == reached(tree, None)[2]
+
+
+def test_changed_rack_moves_rows_only_through_its_subtree(spark):
+    tree = sharding.even_tree(24)
+    heavier = [sharding.Shard(t.region, t.rack, t.shard, 4.0 if t.rack == 4 else 1.0) for t in tree]
+    place = {t.shard: (t.region, t.rack) for t in tree}
+    before, after = shards_of(spark, tree), shards_of(spark, heavier)
+    moved = [(place[before[k]], place[after[k]]) for k in before if before[k] != after[k]]
+    assert len(moved) > 400
+    for old, new in moved:
+        # Through region 1, which holds the rack; within the region, into the rack alone.
+        assert new[0] == 1
+        if old[0] == 1:
+            assert new[1] == 4 and old[1] != 4
+    counts = Counter(after.values())
+    share = sum(n for s, n in counts.items() if place[s][1] == 4) / 4000
+    assert abs(share - 16 / 36) < 0.04
+
+
+def test_one_more_shard_only_takes_rows(spark):
+    tree = sharding.even_tree(24)
+    before, after = shards_of(spark, tree), shards_of(spark, sharding.more(tree))
+    assert {after[k] for k in before if before[k] != after[k]} == {24}
+    assert abs(Counter(after.values())[24] - 160) < 60
+
+
+# Samples
+
+
+def test_a_sample_is_bounded_by_rows_though_ids_repeat(spark):
+    from landfall.llm.labels import labelled_sample
+
+    docs = table(spark, [(k % 3, f"text {k}") for k in range(300)] + [(1, None)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(3)], "doc_id long, toxic int")
+    found = labelled_sample(docs, labels, "toxic").collect()
+    assert len(found) == len({r["doc_id"] for r in found}) <= 3
+    assert labelled_sample(docs, labels, "toxic", rows=1).count() == 1
+
+
+# Decontamination of long items
+
+
+def test_a_long_item_takes_linear_time(spark):
+    import time
+
+    draw = random.Random(2)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(16_000)]
+    changed = list(words)
+    changed[7] = "changed"
+    docs = spark.createDataFrame([(1, " ".join(changed)), (2, "other")], "doc_id long, text string")
+    tests = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
+    began = time.time()
+    found = {r["doc_id"]: r["item_ids"] for r in decontaminate.judge(docs, tests).collect()}
+    assert found == {1: [5], 2: []} and time.time() - began < 60
