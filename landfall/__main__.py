@@ -1,12 +1,13 @@
 """Command line: python -m landfall JOB --config FILE, also through spark-submit.
 
 The file is JSON with the fields of JobConfig. Load jobs take --day, or --start
-and --end.
+and --end; extract takes --year. What a job counted is printed.
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import datetime
 import json
 from collections.abc import Sequence
@@ -31,6 +32,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     for name in ("extract", "setup", "load-day", "backfill", "load-range"):
         command = commands.add_parser(name)
         command.add_argument("--config", required=True)
+        if name == "extract":
+            command.add_argument("--year", type=int, help="the monthly files of this year")
+        if name == "load-range":
+            command.add_argument("--allow-empty-days", action="store_true")
         if name == "load-day":
             command.add_argument("--day", type=_DATE, required=True)
         if name in ("backfill", "load-range"):
@@ -41,15 +46,19 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"landfall {given.job}").getOrCreate()
     cfg = read_config(given.config)
     if given.job == "extract":
-        jobs.extract_job(spark, cfg)
+        if given.year is not None:
+            cfg = dataclasses.replace(cfg, raw_year=given.year)
+        print(jobs.extract_job(spark, cfg))
     elif given.job == "setup":
         jobs.setup_job(spark, cfg)
     elif given.job == "load-day":
-        jobs.load_day(spark, cfg, given.day)
+        print(jobs.load_day(spark, cfg, given.day))
     elif given.job == "backfill":
-        jobs.backfill(spark, cfg, given.start, given.end)
+        for counts in jobs.backfill(spark, cfg, given.start, given.end):
+            print(counts)
     else:
-        jobs.load_range(spark, cfg, given.start, given.end)
+        print(jobs.load_range(spark, cfg, given.start, given.end,
+                              given.allow_empty_days or None))
 
 
 if __name__ == "__main__":

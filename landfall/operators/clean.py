@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from landfall import schemas
 from landfall.functions import codes, days
 
 
-def clean_arrivals(raw: DataFrame) -> DataFrame:
-    """Decode, rename and cast in one projection of native expressions.
+def clean_arrivals(raw: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Decode, rename and cast in one projection of native expressions; columns of `raw` in
+    `also` stay.
 
     Values that do not fit their type become NULL. Year and month are those of
     the filing, the day that of the arrival; they can disagree and are kept.
@@ -32,4 +35,5 @@ def clean_arrivals(raw: DataFrame) -> DataFrame:
         "month": codes.whole(col("i94mon")),
         "arrival_day": days.sas_day_of_month(col("arrdate")),
     }
-    return raw.select(*[derived[c].alias(c) for c in schemas.CLEAN_ARRIVALS.fieldNames()])
+    return raw.select(*[derived[c].alias(c) for c in schemas.CLEAN_ARRIVALS.fieldNames()],
+                      *also)

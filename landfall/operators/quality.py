@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from landfall.schemas import TableSpec
 from landfall.sources.readers import with_load_day
@@ -30,6 +30,42 @@ def check(df: DataFrame, predicate: Callable[[Any], bool], name: str) -> Any:
     return row[0]
 
 
+#: Predicates that a configuration can name, each with the number of values it takes.
+PREDICATES: dict[str, tuple[int, Callable[..., bool]]] = {
+    "zero": (0, lambda found: found == 0),
+    "not_zero": (0, lambda found: found != 0),
+    "true": (0, lambda found: found is True),
+    "null": (0, lambda found: found is None),
+    "equals": (1, lambda found, value: found == value),
+    "at_least": (1, lambda found, value: found is not None and found >= value),
+    "at_most": (1, lambda found, value: found is not None and found <= value),
+    "between": (2, lambda found, low, high: found is not None and low <= found <= high),
+}
+
+
+def check_sql(spark: SparkSession, asked: dict, tables: dict[str, DataFrame],
+              **bound: Any) -> Any:
+    """A check given as data: `name`, `sql`, `expect` (one of PREDICATES), and the `values`
+    that the predicate takes.
+
+    The statement names tables as `{dim_ports}`; parameters such as `:start` are bound,
+    never put into its text, and those under `parameters` join the ones given here. Its
+    first cell is judged; no row at all is a failure.
+    """
+    unknown = set(asked) - {"name", "sql", "expect", "values", "parameters"}
+    if unknown or not {"name", "sql", "expect"} <= set(asked):
+        raise ValueError(f"a check has name, sql, expect, values, parameters: {sorted(asked)}")
+    if asked["expect"] not in PREDICATES:
+        raise ValueError(f"{asked['name']}: expect is one of {sorted(PREDICATES)}")
+    count, predicate = PREDICATES[asked["expect"]]
+    values = list(asked.get("values", ()))
+    if len(values) != count:
+        raise ValueError(f"{asked['name']}: {asked['expect']} takes {count} values")
+    used = {name: table for name, table in tables.items() if "{" + name + "}" in asked["sql"]}
+    found = spark.sql(asked["sql"], {**bound, **asked.get("parameters", {})}, **used)
+    return check(found, lambda cell: predicate(cell, *values), asked["name"])
+
+
 def _check_empty(violations: DataFrame, name: str) -> None:
     row = violations.first()
     if row is not None:
@@ -112,6 +148,31 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
     return used.join(known, F.col("orphan") == F.col("_known"), "left_anti")
 
 
+def fk_orphan_counts(links: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """(constraint_name, orphans): the distinct values without a parent row of all foreign
+    keys (name, child, column, parent, key) at once.
+
+    Each child and each parent is read once: a row gives one (constraint, value) per key, and
+    tasks drop repeats before the shuffle, so that its size is that of the distinct values.
+    """
+    def values(side: int, column: int) -> DataFrame:
+        tables: dict[int, tuple[DataFrame, list[Column]]] = {}
+        for link in links:
+            pair = F.struct(F.lit(link[0]).alias("constraint_name"),
+                            F.col(link[column]).cast("string").alias("value"))
+            tables.setdefault(id(link[side]), (link[side], []))[1].append(pair)
+        sets = [table.select(F.explode(F.array(*pairs)).alias("v")).select("v.*")
+                .where("value IS NOT NULL").distinct() for table, pairs in tables.values()]
+        return reduce(DataFrame.unionByName, sets)
+
+    orphans = values(1, 2).join(values(3, 4), ["constraint_name", "value"], "left_anti")
+    counted = orphans.groupBy("constraint_name").agg(F.count("*").alias("orphans"))
+    spark = links[0][1].sparkSession
+    names = spark.createDataFrame([(link[0],) for link in links], "constraint_name string")
+    return names.join(F.broadcast(counted), "constraint_name", "left").select(
+        "constraint_name", F.coalesce("orphans", F.lit(0)).cast("long").alias("orphans"))
+
+
 def check_fk(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> None:
     _check_empty(fk_orphans(child, fk, parent, pk), f"foreign key {fk}")
 
@@ -176,6 +237,27 @@ def check_table(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame],
     _check_empty(violations, spec.name)
 
 
+def unordered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Proof that Parquet files read as `df` are ordered by `by`, all in all: the breaks.
+
+    One row for each place (file, row) whose key is smaller than the one before it: within a
+    file by the place of its rows, and between files by the smallest and the largest key,
+    in the order of their names. NULLs come first. A window holds one file's rows, or one row
+    for each file.
+    """
+    key = F.struct(*[F.col(c) for c in by])
+    placed = df.select(F.col("_metadata.file_path").alias("file"),
+                       F.col("_metadata.row_index").alias("row"), key.alias("key"))
+    here = Window.partitionBy("file").orderBy("row")
+    inside = placed.withColumn("before", F.lag("key").over(here)).where(
+        F.col("key") < F.col("before")).select("file", "row")
+    spans = placed.groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    between = spans.withColumn(
+        "before", F.max("high").over(Window.orderBy("file").rowsBetween(
+            Window.unboundedPreceding, -1))).where(F.col("low") < F.col("before"))
+    return inside.unionByName(between.select("file", F.lit(0).cast("long").alias("row")))
+
+
 # Reports on the input
 
 

@@ -71,7 +71,11 @@ class TableSpec:
 
 
 _STAGING = (
-    TableSpec("staging_immigration", CLEAN_ARRIVALS),
+    TableSpec(
+        "staging_immigration", CLEAN_ARRIVALS,
+        lengths={"country_code": 3, "port_code": 3, "mode": 256, "visa_category": 256,
+                 "visatype": 128, "gender": 10},
+    ),
     TableSpec(
         "staging_countries", _struct(("country_code", TEXT), ("country", TEXT)),
         not_null=("country_code", "country"),

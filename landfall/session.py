@@ -101,3 +101,44 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with all below it; nothing if it does not exist."""
     system, location = _location(spark, path)
     system.delete(location, True)
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern of the file system, in one call."""
+    system, location = _location(spark, pattern)
+    hadoop = spark.sparkContext._jvm.org.apache.spark.deploy.SparkHadoopUtil
+    # As one text, for a call for each path would take longer than the listing.
+    shown = hadoop.get().globPath(system, location).mkString("\n")
+    return sorted(shown.split("\n")) if shown else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target must not exist, its parents are made."""
+    system, location = _location(spark, source)
+    _, place = _location(spark, target)
+    system.mkdirs(place.getParent())
+    if not system.rename(location, place):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    system, location = _location(spark, path)
+    stream = system.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file whole, in place of an older one."""
+    part = f"{path.rsplit('/', 1)[0]}/_part-{uuid.uuid4().hex}"
+    system, location = _location(spark, part)
+    stream = system.create(location, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    remove(spark, path)
+    move(spark, part, path)

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from landfall import schemas
 from landfall.functions import days
+from landfall.session import list_paths
 
 # Month part of the raw file names.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -28,6 +31,50 @@ def read_raw_arrivals(spark: SparkSession, path: str | list[str], fmt: str = "pa
     return spark.read.schema(schemas.RAW_ARRIVALS).format(fmt).options(**options).load(paths)
 
 
+def check_months(spark: SparkSession, base: str, months: Sequence[str]) -> None:
+    """Each monthly file is named once and is there, once."""
+    twice = sorted({m for m in months if months.count(m) > 1})
+    if twice:
+        raise ValueError(f"months named twice: {twice}")
+    for month in months:
+        stem = month.split(".", 1)[0]
+        there = {path.rsplit("/", 1)[1]
+                 for pattern in (stem, f"{stem}.*")
+                 for path in list_paths(spark, f"{base}/{pattern}")}
+        if month not in there:
+            raise FileNotFoundError(f"no file {month} below {base}")
+        if len(there) > 1:
+            raise ValueError(f"a month in several files: {sorted(there)}")
+
+
+def read_months(spark: SparkSession, base: str, months: Sequence[str], fmt: str = "parquet",
+                **options) -> DataFrame:
+    """Raw arrivals of the monthly files `months` below `base`, with a column `run` that
+    names the file of each row, in one scan.
+
+    A month that is missing, named twice or there in two files is an error. A source that
+    does not tell the file of a row is read file by file.
+    """
+    check_months(spark, base, months)
+    together = read_raw_arrivals(spark, base, fmt, list(months), **options)
+    place = f".*/{re.escape(base.rstrip('/').rsplit('/', 1)[1])}/([^/]+)"
+    try:
+        return together.select("*", F.regexp_extract("_metadata.file_path", place, 1).alias("run"))
+    except AnalysisException:
+        single = [read_raw_arrivals(spark, base, fmt, [m], **options).withColumn("run", F.lit(m))
+                  for m in months]
+        return reduce(DataFrame.unionByName, single)
+
+
+def month_of_file(name: str) -> tuple[int, int] | None:
+    """(year, month) of a raw file by its name; years are of this century from 60 down."""
+    found = re.match(r"i94_([a-z]{3})(\d\d)_sub", name)
+    if not found or found[1] not in MONTHS:
+        return None
+    year = int(found[2])
+    return year + (2000 if year < 60 else 1900), MONTHS.index(found[1]) + 1
+
+
 def stage_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
               multiline: bool = False) -> DataFrame:
     """Delimited text with a header row and columns by position.
@@ -85,14 +132,40 @@ def read_day(spark: SparkSession, lake: str, day: datetime.date) -> DataFrame:
         return spark.createDataFrame([], schemas.CLEAN_ARRIVALS)
 
 
+def lake_days(spark: SparkSession, lake: str, start: datetime.date,
+              end: datetime.date) -> list[str]:
+    """Folders of the days from `start` to `end` that are there. Only the months of the
+    range are listed, those of a year in one call."""
+    found = []
+    for year in range(start.year, end.year + 1):
+        first = start.month if year == start.year else 1
+        last = end.month if year == end.year else 12
+        months = ",".join(str(m) for m in range(first, last + 1))
+        for path in list_paths(spark, f"{lake}/year={year}/month={{{months}}}/arrival_day=*"):
+            month, day = re.search(r"month=(\d+)/arrival_day=(\w+)$", path).groups()
+            if not day.isdigit():
+                continue
+            if (start.month, start.day) > (int(month), int(day)) and year == start.year:
+                continue
+            if (end.month, end.day) < (int(month), int(day)) and year == end.year:
+                continue
+            found.append(f"{lake}/year={year}/month={month}/arrival_day={day}")
+    return found
+
+
 def read_days(spark: SparkSession, lake: str, start: datetime.date,
               end: datetime.date) -> DataFrame:
     """The days from `start` to `end`, both included, with their `load_day`.
 
-    The predicate uses partition columns only and so prunes directories.
+    The days are read by their directories, so the rest of the lake is not listed.
     """
-    return with_load_day(read_lake(spark, lake)).where(
-        F.col("load_day").between(F.lit(start), F.lit(end)))
+    paths = lake_days(spark, lake, start, end)
+    if paths:
+        rows = spark.read.schema(schemas.CLEAN_ARRIVALS).option("basePath", lake).parquet(*paths)
+    else:
+        rows = spark.createDataFrame([], schemas.CLEAN_ARRIVALS)
+    # A folder may name no real day, such as the 31st of a short month.
+    return with_load_day(rows).where(F.col("load_day").between(F.lit(start), F.lit(end)))
 
 
 def with_load_day(clean: DataFrame) -> DataFrame:

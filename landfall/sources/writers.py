@@ -1,29 +1,15 @@
-"""Sinks: the lake, sorted extracts and catalog tables."""
+"""Sinks: sorted extracts, catalog tables, and batches that are checked before they show."""
 
 from __future__ import annotations
 
-import datetime
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall import schemas
 from landfall.session import remove
-
-
-def write_lake(df: DataFrame, path: str, whole: bool = False) -> None:
-    """Write Parquet by year, month and arrival day, replacing the days in `df`.
-
-    The rebalance hint brings the rows of a day together and lets adaptive
-    execution split a day that is too big for one task. A re-run overwrites the
-    same days, so it cannot duplicate them; `whole` replaces the entire lake.
-    """
-    (
-        df.hint("rebalance", *schemas.LAKE_PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .partitionBy(*schemas.LAKE_PARTITIONS)
-        .parquet(path)
-    )
+from landfall.sources import publish
 
 
 def write_sorted(df: DataFrame, path: str, *by: str) -> None:
@@ -49,66 +35,72 @@ def write_staging(df: DataFrame, table: str, truncate: bool) -> None:
     ordered.write.insertInto(table, overwrite=truncate)
 
 
-def overwrite_batch(df: DataFrame, table: str, load_day: datetime.date) -> None:
-    """Replace exactly the fact rows that one batch wrote, stray dates included.
+def location_of(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
 
-    A static partition value makes the overwrite cover all of the batch's
-    arrdate partitions, also those the new rows no longer reach.
-    """
-    spark = df.sparkSession
-    columns = [c for c in spark.table(table).columns if c != "load_day"]
-    rows = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION "
-        f"(load_day = DATE '{load_day.isoformat()}', arrdate) "
-        f"SELECT {rows} FROM {{batch}}", batch=df)
 
+@dataclass(frozen=True)
+class StagedBatch:
+    """Rows of a batch below their table's folder, not yet part of the table."""
 
-def partitions_of(spark: SparkSession, table: str) -> list[dict[str, str]]:
-    """Partition values of a table; metadata only."""
-    return [
-        dict(part.split("=", 1) for part in row[0].split("/"))
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
-    ]
+    table: str
+    root: str
+    name: str
+    rows: DataFrame
 
 
-def location_of(spark: SparkSession, table: str) -> str:
-    """The folder of a table."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
-    return described.first()["data_type"].rstrip("/")
+def stage_batch(df: DataFrame, table: str) -> StagedBatch:
+    """Write a batch aside in the table's partitions, to be checked and published."""
+    spark = df.sparkSession
+    root = location_of(spark, table)
+    if publish.recover(spark, root):
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    target = spark.table(table).schema
+    keys = [f.name for f in spark.catalog.listColumns(table) if f.isPartition]
+    columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target]
+    name = publish.staged_name()
+    df.select(*columns).write.partitionBy(*keys).parquet(f"{root}/{name}")
+    return StagedBatch(table, root, name, spark.read.schema(target).parquet(f"{root}/{name}"))
+
 
+def discard_batch(spark: SparkSession, staged: StagedBatch) -> None:
+    remove(spark, f"{staged.root}/{staged.name}")
 
-def overwrite_range(df: DataFrame, table: str, start: datetime.date,
-                    end: datetime.date) -> None:
-    """Replace the fact rows of all batches from `start` to `end` in one job.
 
-    Partitions the new rows reach are replaced by the write. Those of the same
-    batches that are left over from an earlier run are dropped afterwards.
+def publish_batch(spark: SparkSession, staged: StagedBatch, key: str,
+                  values: Iterable[str]) -> None:
+    """Replace the table's folders `key`=value by the staged ones, stray partitions included.
+
+    Only the listed values are touched; of the others no more than the names of their
+    folders is read. The catalog learns of the partitions in two statements, whatever their
+    number, once the folders are in place; those dropped have no folder by then.
     """
-    spark = df.sparkSession
-    before = [p for p in partitions_of(spark, table)
-              if start.isoformat() <= p["load_day"] <= end.isoformat()]
-    columns = spark.table(table).columns
-    batch = df.select(*[F.col(f"`{c}`") for c in columns])
-    if not before:
-        batch.write.mode("append").insertInto(table)
-        return
-    written = {
-        (str(row.load_day), str(row.arrdate))
-        for row in df.select("load_day", "arrdate").distinct().toLocalIterator()
-    }
-    folder = location_of(spark, table)
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        batch.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, previous)
-    for part in before:
-        if (part["load_day"], part["arrdate"]) not in written:
-            spark.sql(
-                f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
-                f"(load_day = DATE '{part['load_day']}', arrdate = {part['arrdate']})")
-            # The drop leaves the files of a table that an earlier process created.
-            remove(spark, f"{folder}/load_day={part['load_day']}/arrdate={part['arrdate']}")
+    values = set(values)
+
+    def partitions(root: str, folders: Iterable[str]) -> set[str]:
+        with ThreadPoolExecutor(16) as pool:
+            inner = pool.map(lambda f: publish.folders(spark, f"{root}/{f}", 1), folders)
+        return {f"{f}/{sub}" for f, subs in zip(folders, inner, strict=True) for sub in subs}
+
+    folder = f"{staged.root}/{staged.name}"
+    new = publish.folders(spark, folder, 1)
+    unknown = {f.split("=", 1)[1] for f in new} - values
+    if unknown:
+        raise ValueError(f"staged rows of other batches: {sorted(unknown)[:5]}")
+    before = [f for f in publish.folders(spark, staged.root, 1) if f.split("=", 1)[1] in values]
+    arrive, old = partitions(folder, new), partitions(staged.root, before)
+    publish.publish(spark, staged.root, staged.name, new, set(before) - set(new))
+    for verb, some in (("DROP IF EXISTS", old - arrive), ("ADD IF NOT EXISTS", arrive - old)):
+        if some:
+            spark.sql(f"ALTER TABLE {staged.table} {verb} "
+                      + (", " if verb[0] == "D" else " ").join(map(_partition, sorted(some))))
+    spark.catalog.refreshTable(staged.table)
+
+
+def _partition(folder: str) -> str:
+    values = dict(part.split("=", 1) for part in folder.split("/"))
+    shown = {k: "NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'"
+             for k, v in values.items()}
+    return "PARTITION (" + ", ".join(f"`{k}` = {v}" for k, v in shown.items()) + ")"

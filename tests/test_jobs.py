@@ -17,7 +17,7 @@ from landfall.operators.quality import DataQualityError
 from landfall.operators.fact import day_start
 from landfall.plans import jobs, reports, warehouse
 from landfall.session import settle
-from landfall.sources import writers
+from landfall.sources import lake as lakes, readers, writers
 
 D = datetime.date
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -180,43 +180,34 @@ def test_range_equals_backfill(spark, cfg):
     assert len(set(ids(spark, cfg))) == len(numbers)
 
 
-def test_reports_equal_sql_on_the_tables(spark, cfg):
+def test_reports_on_the_loaded_tables(spark, cfg):
+    """Counted by hand from ARRIVALS: of twelve, one has an unknown port, one an unknown
+    country, and the two of code 407 have a name that code 583 took before."""
     jobs.load_range(spark, cfg, START, END)
     t = warehouse.tables_of(spark, cfg.database)
     fact, ports, countries = t["fact_immigration"], t["dim_ports"], t["dim_countries"]
-    spark.sql(f"USE {cfg.database}")
-    try:
-        joined = """FROM fact_immigration i JOIN dim_countries c ON i.country_id = c.country_id
-            JOIN dim_ports p ON i.port_id = p.port_id
-            JOIN dim_time t ON i.arrdate = t.sas_timestamp"""
-        pairs = [
-            (reports.top_countries(fact, countries, t["dim_time"], 2016, 1, k=2),
-             f"""SELECT c.country, COUNT(*) AS count {joined} WHERE t.year = 2016 AND t.month = 1
-                GROUP BY c.country ORDER BY count DESC, c.country LIMIT 2"""),
-            (reports.top_ports(fact, ports, t["dim_time"], 2016, 1, k=1),
-             f"""SELECT p.port_city, p.port_state, COUNT(*) AS count {joined}
-                WHERE t.year = 2016 AND t.month = 1 GROUP BY p.port_city, p.port_state
-                ORDER BY count DESC, p.port_city LIMIT 1"""),
-            (reports.arrivals_by_dow(fact, ports, t["dim_time"], 2016, 1),
-             f"SELECT t.day_of_week, COUNT(*) AS count {joined} GROUP BY t.day_of_week"),
-            (reports.port_country_counts(fact, ports, countries),
-             f"SELECT p.port_city, c.country, COUNT(*) AS arrivals {joined} GROUP BY ALL"),
-            (reports.seasonality(fact, ports, t["dim_time"]),
-             f"""SELECT p.port_state, t.month, COUNT(*) AS arrivals,
-                RANK() OVER (PARTITION BY p.port_state ORDER BY COUNT(*) DESC) AS month_rank
-                {joined} GROUP BY p.port_state, t.month"""),
-        ]
-        for report, text in pairs:
-            assert rows(report) == rows(spark.sql(text)) != []
-        # Four arrivals of day 1 and 2 in two ports; each race row shows the port's count.
-        by_origin = reports.demographics_by_origin(fact, ports, countries, t["dim_demographics"])
-        assert rows(by_origin, "port_code", "country", "race", "arrivals") == [
-            ("5KE", "INVALID: UNITED STATES", "White", 1), ("5KE", "NORWAY", "White", 1),
-            ("KET", "INVALID: UNITED STATES", "White", 1), ("KET", "MEXICO", "White", 1),
-            ("NYC", "MEXICO", "Asian", 2), ("NYC", "MEXICO", "White", 2),
-            ("NYC", "NORWAY", "Asian", 2), ("NYC", "NORWAY", "White", 2)]
-    finally:
-        spark.sql("USE default")
+    time = t["dim_time"]
+    us = "INVALID: UNITED STATES"
+    assert [tuple(r) for r in reports.top_countries(
+        fact, countries, time, 2016, 1, k=3).collect()] == [
+        ("MEXICO", 3), ("NORWAY", 3), (us, 2)]
+    assert rows(reports.top_countries(fact, countries, time, 2016, 1, k=2)) == [
+        ("MEXICO", 3), ("NORWAY", 3)]
+    assert rows(reports.top_ports(fact, ports, time, 2016, 1, k=1)) == [("NEW YORK", "NY", 4)]
+    # January 1 was a Friday.
+    assert rows(reports.arrivals_by_dow(fact, ports, time, 2016, 1)) == [
+        (0, 1), (1, 2), (5, 3), (6, 2)]
+    assert rows(reports.port_country_counts(fact, ports, countries)) == [
+        ("KETCHIKAN", us, 2), ("KETCHIKAN", "MEXICO", 1), ("KETCHIKAN", "NORWAY", 1),
+        ("NEW YORK", "MEXICO", 2), ("NEW YORK", "NORWAY", 2)]
+    assert rows(reports.seasonality(fact, ports, time)) == [("AK", 1, 4, 1), ("NY", 1, 4, 1)]
+    # Four arrivals of day 1 and 2 in two ports; each race row shows the port's count.
+    by_origin = reports.demographics_by_origin(fact, ports, countries, t["dim_demographics"])
+    assert rows(by_origin, "port_code", "country", "race", "arrivals") == [
+        ("5KE", us, "White", 1), ("5KE", "NORWAY", "White", 1),
+        ("KET", us, "White", 1), ("KET", "MEXICO", "White", 1),
+        ("NYC", "MEXICO", "Asian", 2), ("NYC", "MEXICO", "White", 2),
+        ("NYC", "NORWAY", "Asian", 2), ("NYC", "NORWAY", "White", 2)]
 
 
 def test_range_over_loaded_days_and_again(spark, cfg):
@@ -242,29 +233,29 @@ def stray(spark, cfg):
     return clean.selectExpr("* EXCEPT (arrival_day)", "2 AS arrival_day").select(clean.columns)
 
 
-def test_a_stray_date_stays_with_its_batch(spark, cfg, path):
-    """The reconciliation counts by arrival date and so reports the stray row, but
-    re-running one batch neither loses nor repeats rows of the other."""
+def test_a_stray_date_is_refused_with_its_batch(spark, cfg, path):
+    """The reconciliation counts by arrival date and so reports the stray row; the batch is
+    checked before it shows, and what the tables held before stays."""
     cfg = dataclasses.replace(cfg, lake=path("own_lake"))
-    writers.write_lake(clean_arrivals(raw(spark, ARRIVALS)), cfg.lake)
-    day_two = spark.read.schema(schemas.CLEAN_ARRIVALS).parquet(cfg.lake).where("arrival_day = 2")
-    # Stored first, as the write replaces the files it comes from.
-    writers.write_lake(settle(day_two.union(stray(spark, cfg))), cfg.lake)
+    lakes.write_lake(clean_arrivals(raw(spark, ARRIVALS)), cfg.lake)
+    jobs.load_day(spark, cfg, D(2016, 1, 2))
+    before = contents(spark, cfg)
+    lakes.write_lake(clean_arrivals(raw(spark, ARRIVALS)).union(stray(spark, cfg)), cfg.lake)
     jobs.load_day(spark, cfg, START)
     with pytest.raises(DataQualityError, match="staging to fact"):
         jobs.load_day(spark, cfg, D(2016, 1, 2))
     fact = cfg.table("fact_immigration")
-    assert rows(spark.table(fact).groupBy("load_day", "arrdate").count()) == [
-        (START, 20454, 3), (D(2016, 1, 2), 20454, 1), (D(2016, 1, 2), 20455, 2)]
+    counted = [(START, 20454, 3), (D(2016, 1, 2), 20455, 2)]
+    # Refused rows never showed.
+    assert rows(spark.table(fact).groupBy("load_day", "arrdate").count()) == counted
+    assert len(contents(spark, cfg)["ports"]) >= len(before["ports"])
     with pytest.raises(DataQualityError, match="staging to fact"):
-        jobs.load_day(spark, cfg, START)
-    assert spark.table(fact).count() == 6
-    # Once corrected, the stray partition goes with its batch, by day or by range.
-    writers.write_lake(
-        clean_arrivals(raw(spark, [a for a in ARRIVALS if a[0] == 2])), cfg.lake)
+        jobs.load_range(spark, cfg, START, D(2016, 1, 2))
+    assert rows(spark.table(fact).groupBy("load_day", "arrdate").count()) == counted
+    # Once corrected, the batch loads, by day or by range.
+    lakes.write_lake(clean_arrivals(raw(spark, ARRIVALS)), cfg.lake)
     jobs.load_range(spark, cfg, START, D(2016, 1, 2))
-    assert rows(spark.table(fact).groupBy("load_day", "arrdate").count()) == [
-        (START, 20454, 3), (D(2016, 1, 2), 20455, 2)]
+    assert rows(spark.table(fact).groupBy("load_day", "arrdate").count()) == counted
 
 
 def test_keep_rule_loads_all_matching_rows(spark, cfg):
@@ -337,6 +328,233 @@ def test_arrivals_of_no_day_fail_the_extract_or_are_set_aside(spark, path):
     assert spark.read.parquet(lake).count() == 1
 
 
+def test_undated_rows_are_not_doubled_by_another_extract(spark, path):
+    good = raw(spark, [(1, 582, "NYC", 3)])
+    none = good.withColumn("arrdate", F.lit(None).cast("double"))
+    source, other = path("raw"), path("raw")
+    good.union(none).write.parquet(source)
+    none.write.parquet(other)
+    config = jobs.JobConfig(database="none", raw=source, lake=path("lake"), undated=path("aside"))
+    for _ in range(2):
+        counts = jobs.extract_job(spark, config)
+        assert (counts.rows, counts.undated, counts.strays) == (2, 1, 0)
+    assert spark.read.parquet(config.undated).count() == 1
+    # Those of another input stay, and go once it has none.
+    twin = dataclasses.replace(config, raw=other)
+    jobs.extract_job(spark, twin)
+    assert spark.read.parquet(config.undated).count() == 2
+    good.write.mode("overwrite").parquet(other)
+    jobs.extract_job(spark, twin)
+    assert spark.read.parquet(config.undated).count() == 1
+    assert readers.read_lake(spark, config.lake).count() == 2
+
+
+def test_a_failing_extract_leaves_the_lake(spark, path):
+    source = path("raw")
+    late = raw(spark, [(1, 582, "NYC", 3)]).withColumn("arrdate", F.col("arrdate") + 31)
+    late.write.parquet(source)
+    config = jobs.JobConfig(database="none", raw=source, lake=path("lake"))
+    assert jobs.extract_job(spark, config).strays == 1
+    refusing = dataclasses.replace(config, refuse_strays=True)
+    raw(spark, [(2, 582, "NYC", 3)]).union(late).write.mode("overwrite").parquet(source)
+    with pytest.raises(DataQualityError, match="partition date: 1 "):
+        jobs.extract_job(spark, refusing)
+    assert readers.read_lake(spark, config.lake).count() == 1
+    assert not [f for f in os.listdir(config.lake) if f.startswith("_staged")]
+
+
+def test_extract_reads_its_input_once(spark, path):
+    """Counts come from the write: a whole extract is one scan of the raw files."""
+    source = path("raw")
+    raw(spark, ARRIVALS).repartition(1).write.parquet(source)
+    config = jobs.JobConfig(database="none", raw=source, lake=path("lake"))
+    jobs.extract_job(spark, config)
+    seen = raw_scans(spark, lambda: jobs.extract_job(spark, config), source)
+    assert seen == 1
+
+
+def raw_scans(spark, run, folder):
+    """How many of the jobs' plans read a folder: by access to its one file, whose name a
+    read cannot do without."""
+    from landfall.sources import readers as module
+
+    calls = []
+    real = module.read_raw_arrivals
+
+    def counted(spark_, path_, *arguments, **options):
+        df = real(spark_, path_, *arguments, **options)
+        marked = spark.sparkContext.accumulator(0)
+        calls.append(marked)
+
+        def mark(batches):
+            marked.add(1)
+            yield from batches
+
+        return df.coalesce(1).mapInArrow(mark, df.schema)
+
+    module.read_raw_arrivals = counted
+    try:
+        run()
+    finally:
+        module.read_raw_arrivals = real
+    return sum(c.value for c in calls)
+
+
+def test_extract_of_a_year_by_its_months(spark, path):
+    base = path("raw")
+    for month in range(1, 13):
+        shift = (D(2016, month, 1) - D(2016, 1, 1)).days
+        rows_ = raw(spark, [(1, 582, "NYC", None), (2, 582, "NYC", None)]).withColumn(
+            "i94mon", F.lit(float(month))).withColumn("arrdate", F.col("arrdate") + shift)
+        rows_.write.parquet(f"{base}/{readers.month_paths('', 2016)[month - 1].strip('/')}")
+    config = jobs.JobConfig(database="none", raw=base, raw_year=2016, lake=path("lake"))
+    assert jobs.extract_job(spark, config).rows == 24
+    # One month again, by itself: the others stay, the lost day goes.
+    file = "i94_mar16_sub"
+    kept = spark.read.parquet(f"{base}/{file}").where("dayofmonth(date_add('1960-01-01', "
+                                                       "int(arrdate))) = 1")
+    settle(kept).write.mode("overwrite").parquet(f"{base}/{file}")
+    jobs.extract_job(spark, dataclasses.replace(config, raw_year=None, raw_months=[file]))
+    lake = readers.read_lake(spark, config.lake)
+    assert lake.count() == 23 and lake.where("month = 3").count() == 1
+    # A file that holds another month.
+    spark.read.parquet(f"{base}/i94_may16_sub").write.mode("overwrite").parquet(f"{base}/{file}")
+    with pytest.raises(DataQualityError, match="i94_mar16_sub: no arrivals"):
+        jobs.extract_job(spark, config)
+    os.rename(f"{base}/i94_dec16_sub", f"{base}/i94_dec17_sub")
+    with pytest.raises(FileNotFoundError, match="i94_dec16_sub"):
+        jobs.extract_job(spark, config)
+
+
+def test_loads_count_what_they_leave_out(spark, cfg):
+    counts = jobs.load_day(spark, cfg, START)
+    assert (counts.arrivals, counts.no_country, counts.no_port, counts.loaded) == (4, 1, 0, 3)
+    assert jobs.load_range(spark, cfg, START, END).loaded == 8
+    strict = dataclasses.replace(cfg, most_unmatched=0.1)
+    with pytest.raises(DataQualityError, match="unmatched arrivals: 4 of 12"):
+        jobs.load_range(spark, strict, START, END)
+    assert jobs.load_day(spark, strict, D(2016, 1, 4)).loaded == 2
+
+
+def test_a_failing_load_leaves_all_tables(spark, cfg, monkeypatch):
+    jobs.load_day(spark, cfg, START)
+    before, numbers = contents(spark, cfg), ids(spark, cfg)
+
+    def fails(*_):
+        raise DataQualityError("no")
+
+    monkeypatch.setattr(jobs, "_check_counts", fails)
+    for load in (lambda: jobs.load_day(spark, cfg, D(2016, 1, 3)),
+                 lambda: jobs.load_range(spark, cfg, START, END)):
+        with pytest.raises(DataQualityError):
+            load()
+        assert contents(spark, cfg) == before and ids(spark, cfg) == numbers
+    folder = writers.location_of(spark, cfg.table("fact_immigration")).removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("_staged")]
+
+
+@pytest.mark.parametrize("moves", [1, 2, 3])
+def test_a_load_killed_while_it_publishes_is_ended_by_the_next(spark, cfg, monkeypatch, moves):
+    from landfall import session
+
+    jobs.load_range(spark, cfg, START, END)
+    before = contents(spark, cfg)
+    real, done = session.move, []
+
+    def dying(spark_, source, target):
+        if "fact_immigration" in target:
+            if len(done) == moves:
+                raise KeyboardInterrupt
+            done.append(target)
+        real(spark_, source, target)
+
+    monkeypatch.setattr(session, "move", dying)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.load_range(spark, cfg, D(2016, 1, 2), END)
+    monkeypatch.setattr(session, "move", real)
+    jobs.load_day(spark, cfg, START)
+    assert contents(spark, cfg) == before
+
+
+def test_a_range_again_reads_the_lake_as_often(spark, cfg, monkeypatch):
+    """Jobs of a first and of a second run, and the tasks that read the lake."""
+    def jobs_of(group):
+        spark.sparkContext.setJobGroup(group, group)
+        reads = []
+        real = readers.read_days
+
+        def counted(*arguments):
+            seen = spark.sparkContext.accumulator(0)
+            reads.append(seen)
+            df = real(*arguments).coalesce(1)
+
+            def mark(batches):
+                seen.add(1)
+                yield from batches
+
+            return df.mapInArrow(mark, df.schema)
+
+        monkeypatch.setattr(readers, "read_days", counted)
+        jobs.load_range(spark, cfg, START, END)
+        monkeypatch.setattr(readers, "read_days", real)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return (sum(r.value for r in reads),
+                len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+
+    first, second = jobs_of("first"), jobs_of("second")
+    assert first[0] == second[0] == 3
+    assert second[1] <= first[1]
+
+
+CHECK = {"name": "few ports", "sql": "SELECT count(*) FROM {dim_ports} WHERE port_code <> :code",
+         "expect": "at_most", "values": [1], "parameters": {"code": "NYC"}}
+
+
+def test_checks_of_the_user_end_a_load(spark, cfg):
+    asked = [{"name": "dated", "sql": "SELECT count(*) FROM {fact_immigration} "
+              "WHERE load_day < :start OR load_day > :end", "expect": "zero"}, CHECK]
+    config = dataclasses.replace(cfg, checks=asked)
+    jobs.load_day(spark, config, START)
+    with pytest.raises(DataQualityError, match="dated: unexpected value 3"):
+        jobs.load_day(spark, config, D(2016, 1, 2))
+    config = dataclasses.replace(cfg, checks=[CHECK])
+    jobs.load_day(spark, config, D(2016, 1, 2))
+    # The batch would bring a second port: its rows are seen by the check, and by it alone.
+    before = contents(spark, cfg)
+    with pytest.raises(DataQualityError, match="few ports: unexpected value 2"):
+        jobs.load_day(spark, config, D(2016, 1, 4))
+    assert contents(spark, cfg) == before
+
+
+@pytest.mark.parametrize("broken", [
+    {"expect": "odd"}, {"expect": "between", "values": [1]}, {"other": 1}])
+def test_checks_that_cannot_be_understood(spark, broken):
+    from landfall.operators.quality import check_sql
+    with pytest.raises(ValueError):
+        check_sql(spark, CHECK | broken, {"dim_ports": spark.range(1)})
+
+
+def test_predicates(spark):
+    from landfall.operators.quality import PREDICATES, check_sql
+
+    def holds(expect, cell, *values):
+        asked = {"name": "x", "sql": f"SELECT {cell}", "expect": expect, "values": values}
+        try:
+            check_sql(spark, asked, {})
+        except DataQualityError:
+            return False
+        return True
+
+    cases = {"zero": ("0", "1"), "not_zero": ("1", "0"), "true": ("true", "false"),
+             "null": ("NULL", "0"), "equals": ("2", "3", 2), "at_least": ("2", "1", 2),
+             "at_most": ("2", "NULL", 2), "between": ("2", "4", 1, 3)}
+    assert cases.keys() == PREDICATES.keys()
+    for name, (good, bad, *values) in cases.items():
+        assert holds(name, good, *values) and not holds(name, bad, *values)
+    with pytest.raises(DataQualityError, match="no result"):
+        check_sql(spark, {"name": "x", "sql": "SELECT 1 WHERE false", "expect": "zero"}, {})
+
+
 def test_lookups_are_checked_before_they_replace_others(spark, cfg, path):
     before = spark.table(cfg.table("staging_countries")).count()
     empty_code = csv(path, "bad.csv", "Code,Country", ",MEXICO")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landfall import schemas
-from landfall.operators import dimensions, latest, upsert
+from landfall.operators import dimensions, fact as facts, latest, quality, upsert
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.fact import batch_fact
 from landfall.plans import reports
@@ -86,22 +86,92 @@ def test_fact_is_joined_without_a_shuffle(star):
     assert nodes(df, "Exchange") == 0 and nodes(df, "Sort") == 0
 
 
+def test_observed_fact_is_joined_without_a_shuffle(star):
+    df, _ = facts.observed_fact(star["staging"], star["countries"], star["ports"])
+    assert nodes(df, "BroadcastHashJoin") == 2 and nodes(df, "CollectMetrics") == 1
+    assert nodes(df, "Exchange") == 0 and nodes(df, "Sort") == 0
+
+
 def test_fact_is_shuffled_when_a_dimension_is_too_big_to_broadcast(spark, star):
     key = "spark.sql.autoBroadcastJoinThreshold"
+    codes = settle(dimensions.code_counts(star["staging"]))
     spark.conf.set(key, "100")
     try:
         df = batch_fact(star["staging"], star["countries"], star["ports"])
         assert nodes(df, "BroadcastHashJoin") == 0
+        df, _ = facts.observed_fact(star["staging"], star["countries"], star["ports"], codes)
+        assert nodes(df, "SortMergeJoin") == 2
+        # Brought together by partition before the write, after the joins.
+        assert "REBALANCE_PARTITIONS_BY_COL" in plan(df)
+        with pytest.raises(ValueError, match="code_counts"):
+            facts.observed_fact(star["staging"], star["countries"], star["ports"])
     finally:
         spark.conf.unset(key)
 
 
-def test_fact_partitions_are_pruned_by_the_time_dimension(spark, star, tmp_path):
-    path = str(tmp_path / "fact")
+def test_hot_codes_are_dealt_over_tasks(spark, star):
+    """Half of all rows have one country and a third no port: no task gets them all."""
+    base = star["staging"].limit(1)
+    rows = base.crossJoin(spark.range(6000, numPartitions=4)).withColumn(
+        "country_code", F.when(F.col("id") % 2 == 0, "101").otherwise(
+            F.concat(F.lit("1"), F.lpad((F.col("id") % 20).cast("string"), 2, "0")))
+    ).withColumn("port_code", F.when(F.col("id") % 3 > 0, F.concat(
+        F.lit("P0"), (F.col("id") % 9).cast("string")))).drop("id")
+    codes = settle(dimensions.code_counts(rows))
+    tasks = 3
+    hot = {r[0]: r[1] for r in facts.hot_codes(codes, "port_code", tasks).collect()}
+    assert None in facts.hot_codes(codes, "port_code", 12).toPandas()["port_code"].tolist()
+    assert len(hot) < tasks
+    df, seen = facts.observed_fact(rows, star["countries"], star["ports"], codes, shuffled=True)
+    df = df.cache()
+    wanted = facts.build_fact(rows, star["countries"], star["ports"])
+    try:
+        assert df.count() == wanted.count() > 0
+        assert df.exceptAll(wanted).isEmpty()
+    finally:
+        df.unpersist()
+    counts = facts.fact_counts(seen)
+    assert counts.arrivals == 6000 == counts.loaded + counts.no_country + counts.no_port
+    key = "spark.sql.shuffle.partitions"
+    few = spark.conf.get(key)
+    spark.conf.set(key, "12")
+    try:
+        join, _ = facts.observed_fact(rows, star["countries"], star["ports"], codes,
+                                      shuffled=True)
+        assert "_salt" in plan(join) and "_place" in plan(join)
+        assert join.count() == wanted.count()
+    finally:
+        spark.conf.set(key, few)
+
+
+def test_partitions_of_the_stored_fact_are_pruned_by_the_time_dimension(spark, star):
+    fact = batch_fact(star["staging"], star["countries"], star["ports"]).where(
+        "year(load_day) = 1996")
+    keys = schemas.TABLES["fact_immigration"].partitioned_by
+    fact.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).saveAsTable(
+        "pruned_fact")
+    try:
+        df = reports.arrivals_on(spark.table("pruned_fact"), star["time"], 1996, 12)
+        assert re.search(r"PartitionFilters: \[.*arrdate.*dynamicpruning", plan(df))
+        assert df.count() == fact.where("month(load_day) = 12").count() > 0
+    finally:
+        spark.sql("DROP TABLE pruned_fact")
+
+
+def test_foreign_keys_take_one_scan_per_table(spark, star, tmp_path):
     fact = batch_fact(star["staging"], star["countries"], star["ports"])
-    fact.where("year(load_day) = 1996").drop("load_day").write.partitionBy("arrdate").parquet(path)
-    df = reports.arrivals_on(spark.read.parquet(path), star["time"], 1996, 12)
-    assert "dynamicpruning" in plan(df)
+    fact.write.parquet(str(tmp_path / "fact"))
+    child = spark.read.parquet(str(tmp_path / "fact"))
+    ports, time = star["ports"].where("port_code <> 'P01'"), star["time"]
+    df = quality.fk_orphan_counts([
+        ("port", child, "port_id", ports, "port_id"),
+        ("country", child, "country_id", star["countries"], "country_id"),
+        ("arrival", child, "arrdate", time, "sas_timestamp"),
+        ("departure", child, "depdate", time, "sas_timestamp")])
+    # The child, and three parents of which one has two keys.
+    assert nodes(df, "parquet") == 4
+    found = {r[0]: r[1] for r in df.collect()}
+    assert found == {"port": 1, "country": 0, "arrival": 0, "departure": 0}
 
 
 def test_first_per_key_is_cut_before_the_shuffle(spark):

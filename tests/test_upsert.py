@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from landfall.operators.fact import assign_fact_ids, day_start
+from landfall.operators.fact import _within_day, assign_fact_ids, day_start
 from landfall.operators.upsert import absent, assign_keys, dense_keys, insert_if_absent, next_key
 
 SCHEMA = "k string, r string, v int"
@@ -141,3 +141,26 @@ def test_fact_ids_before_the_epoch_and_far_ahead(spark):
     df = spark.sql("SELECT DATE '1959-12-31' d UNION ALL SELECT DATE '2139-01-01'")
     starts = [r[0] for r in df.select(day_start(F.col("d"))).collect()]
     assert starts[0] == -(1 << 47) and 0 < starts[1] < 1 << 63
+
+
+def test_fact_ids_at_any_number_of_tasks(spark):
+    """20,000 tasks, more than one class of the split holds."""
+    df = fact_rows(spark, 2, 20_000, 20_000)
+    keyed = assign_fact_ids(df, day_start(F.col("load_day")))
+    found = keyed.agg(F.count("*").alias("n"), F.count_distinct("immigration_id").alias("ids"),
+                      F.min("immigration_id").alias("low")).first()
+    assert (found.n, found.ids) == (40_000, 40_000) and found.low > 0
+
+
+def test_ids_within_a_day(spark):
+    """Tasks and places at the edges of all classes are apart and fit 47 bits."""
+    tasks = [0, 1, 4095, 4096, 65535, 65536, (1 << 20) - 1, 1 << 20, (1 << 24) - 1]
+    places = [0, 1, 12345, (1 << 21) - 1]
+    rows_ = [(t << 33 | p,) for t in tasks for p in places] + [((1 << 33) - 1,)]
+    ids = [r[0] for r in spark.createDataFrame(rows_, "at long").select(
+        _within_day(F.col("at"))).collect()]
+    assert len(set(ids)) == len(ids) and min(ids) >= 0 and max(ids) < 1 << 47
+    for task, place, message in ((1 << 24, 0, "more tasks"), (1 << 20, 1 << 21, "more rows")):
+        df = spark.createDataFrame([(task << 33 | place,)], "at long")
+        with pytest.raises(Exception, match=message):
+            df.select(_within_day(F.col("at"))).collect()

@@ -39,6 +39,24 @@ FROM {seen} s LEFT JOIN latest_country t ON upper(s.country) = upper(t.Country)"
 
 _COUNTRY_ORDER = "first_seen, country_code, average_temperature NULLS LAST"
 
+# Whether a raw row's filed month has the day on which it arrived.
+_DATED = (f"day({_sas_date('arrdate')}) <= "
+          "day(last_day(make_date(CAST(i94yr AS INTEGER), CAST(i94mon AS INTEGER), 1)))")
+
+
+def _rerun(batch: str) -> str:
+    """Counts of a batch of 1996, whose country names have one code each, loaded twice."""
+    return f"""
+SELECT count(*) AS arrivals, count(*) FILTER (WHERE c IS NULL) AS no_country,
+  count(*) FILTER (WHERE c IS NOT NULL AND p IS NULL) AS no_port,
+  count(*) FILTER (WHERE c IS NOT NULL AND p IS NOT NULL) AS loaded,
+  count(*) FILTER (WHERE c IS NOT NULL AND p IS NOT NULL) AS fact_rows,
+  count(*) FILTER (WHERE c IS NOT NULL AND p IS NOT NULL) AS ids, true AS unchanged
+FROM (SELECT l.country_code AS c, o.port_code AS p FROM staged s
+  LEFT JOIN lookup_countries l ON l.country_code = s.country_code
+  LEFT JOIN lookup_ports o ON o.port_code = s.port_code WHERE {batch})"""
+
+
 _CTES: dict[str, str] = {
     **{name: duckdb_view(name) for name in VIEWS},
     "clean": f"""
@@ -228,6 +246,50 @@ _BODIES: dict[str, str] = {
     "day_partition_scan": "SELECT * FROM clean WHERE year = 1996 AND month = 12 "
                           "AND arrival_day = 24",
     "clean_arrivals": "SELECT * FROM clean",
+    "lake_rewrite": f"""
+SELECT CAST(i94yr AS INTEGER) AS year, CAST(i94mon AS INTEGER) AS month,
+  CAST(day({_sas_date('arrdate')}) AS INTEGER) AS arrival_day, count(*) AS rows
+FROM (SELECT * FROM raw_arrivals WHERE {_sas_date('arrdate')} < DATE '1996-01-01'
+      UNION ALL SELECT * FROM raw_arrivals_late WHERE {_sas_date('arrdate')} >= DATE '1996-01-01')
+WHERE {_DATED} GROUP BY ALL""",
+    "extract_observed": f"""
+SELECT step, run, count(*) AS rows, count(*) FILTER (WHERE NOT dated) AS undated,
+  count(*) FILTER (WHERE dated AND stray) AS strays,
+  (SELECT count(*) FROM raw_arrivals_late WHERE NOT ({_DATED}) AND CASE step
+     WHEN 1 THEN {_sas_date('arrdate')} < DATE '1996-01-01'
+     WHEN 2 THEN true ELSE {_sas_date('arrdate')} >= DATE '1996-01-01' END) AS aside
+FROM (SELECT CASE WHEN early THEN 1 ELSE 2 END AS step,
+        CASE WHEN early THEN 'early' ELSE 'later' END AS run, dated, stray
+      FROM (SELECT *, {_sas_date('arrdate')} < DATE '1996-01-01' AS early, {_DATED} AS dated,
+              i94mon <> month({_sas_date('arrdate')}) AS stray FROM raw_arrivals_late)
+      UNION ALL
+      SELECT 3, 'early', true, false FROM raw_arrivals
+      WHERE {_sas_date('arrdate')} < DATE '1996-01-01')
+GROUP BY step, run""",
+    "month_files_scan": f"""
+SELECT 'i94_' || lower(strftime({_sas_date('arrdate')}, '%b%y')) || '_sub' AS run,
+  count(*) AS rows, min(arrdate) AS first, max(arrdate) AS last
+FROM raw_arrivals GROUP BY ALL""",
+    "temps_csv_scan": "SELECT * FROM city_temps",
+    "staged_parquet_scan": """
+SELECT City, Race, "Total Population" AS total_population FROM demographics""",
+    "staged_json_scan": "SELECT * FROM airports",
+    "lookups_scan": """
+SELECT 'countries' AS lookup, count(*) AS rows, count(DISTINCT country_code) AS codes
+FROM lookup_countries
+UNION ALL SELECT 'ports', count(*), count(DISTINCT port_code) FROM lookup_ports""",
+    "sorted_extract": """
+SELECT count(*) AS rows, min(City) AS first, max(City) AS last, CAST(0 AS BIGINT) AS breaks
+FROM latest_city""",
+    "user_checks": """
+SELECT 'loaded' AS name, count(*) FILTER (WHERE load_day = DATE '1996-12-24') <> 0 AS held
+FROM fact
+UNION ALL SELECT 'no age', count(*) = count(age) FROM fact
+UNION ALL SELECT 'age', max(age) BETWEEN 19 AND 68 FROM fact
+UNION ALL SELECT 'few ports', count(*) <= 3 FROM dim_ports
+UNION ALL SELECT 'calendar', true""",
+    "load_day_rerun": _rerun("load_day = DATE '1996-12-24'"),
+    "range_rerun": _rerun("year(load_day) = 1996 AND month(load_day) = 12"),
     "sas_dates": f"""
 SELECT arrdate, depdate, {_sas_date('arrdate')} AS arrival_date,
   CAST(day({_sas_date('arrdate')}) AS INTEGER) AS arrival_day,
@@ -265,6 +327,7 @@ FROM dim_ports p JOIN demographics d
   ON upper(p.port_city) = upper(d.City) AND upper(p.port_state) = upper(d."State Code")""",
     "port_airports_join": "SELECT * FROM airport_rows",
     "fact_arrivals": "SELECT * FROM fact",
+    "fact_arrivals_shuffled": "SELECT * FROM fact",
     "new_demographics_antijoin": """
 SELECT r.* FROM demographic_rows r WHERE NOT EXISTS (
   SELECT 1 FROM demographic_rows e JOIN dim_ports p ON e.port_id = p.port_id
@@ -382,6 +445,8 @@ _DATES = {
     "seen_countries": ("first_seen",),
     "seen_ports": ("first_seen",),
     "fact_arrivals": ("load_day",),
+    "fact_arrivals_shuffled": ("load_day",),
+    "temps_csv_scan": ("dt",),
     "latest_city_temps": ("dt",),
     "latest_country_temps": ("dt",),
     "partition_mismatch": ("arrival_date",),
@@ -394,6 +459,7 @@ _DOUBLES = {
     "sas_dates": ("early_day",),
     "arrivals_by_month_filter": ("age", "depdate"),
     "fact_arrivals": ("age", "birth_year", "depdate"),
+    "fact_arrivals_shuffled": ("age", "birth_year", "depdate"),
     "ports_in_batch": ("average_temperature",),
     "dim_countries": ("average_temperature",),
     "dim_ports": ("average_temperature",),

@@ -13,8 +13,8 @@ from landfall.functions import codes, days
 from landfall.operators import dimensions, fact as facts, latest, quality, upsert
 from landfall.operators.clean import clean_arrivals
 from landfall.plans import jobs, reports, warehouse
-from landfall.session import new_path, settle
-from landfall.sources import readers, writers
+from landfall.session import exists, move, new_path, settle
+from landfall.sources import lake, publish, readers, writers
 from verification.tables import spark_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,8 @@ YEAR, MONTH = 1996, 12
 DAY = datetime.date(1996, 12, 24)
 # The arrivals before this day are the first batch, the others the second.
 SECOND_BATCH = datetime.date(1998, 1, 1)
+# The arrivals before this day are one raw file, the others another.
+BOUNDARY = datetime.date(1996, 1, 1)
 
 _QUERIES: dict[str, Query] = {}
 
@@ -142,15 +144,46 @@ def _loaded_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lake(spark: SparkSession, sf: str) -> str:
     raw = spark_view(spark, sf, "raw_arrivals")
-    return _store(spark, sf, "lake", lambda to: writers.write_lake(clean_arrivals(raw), to))
-
-
-def _lake_days(spark: SparkSession, lake: str) -> tuple[datetime.date, datetime.date]:
+    return _store(spark, sf, "lake", lambda to: lake.write_lake(clean_arrivals(raw), to))
+
+
+def _extracts(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Three extracts to one lake, and the folder of what they counted: the arrivals before
+    BOUNDARY filed late, those after it filed late, and the first ones again, corrected."""
+    base = _store(spark, sf, "extracts", lambda to: None)
+    if not exists(spark, f"{base}/counts"):
+        early = F.col("arrdate") < days.day_number(F.lit(BOUNDARY))
+        wrong, right = (spark_view(spark, sf, v) for v in ("raw_arrivals_late", "raw_arrivals"))
+        steps = []
+        for rows, folder in ((wrong.where(early), "early"), (wrong.where(~early), "later"),
+                             (right.where(early), "early")):
+            rows.write.mode("overwrite").parquet(f"{base}/{folder}")
+            counts = jobs.extract_job(spark, jobs.JobConfig(
+                database="", raw=f"{base}/{folder}", lake=f"{base}/lake",
+                undated=f"{base}/undated"))
+            aside = spark.read.parquet(f"{base}/undated").count()
+            steps.append((len(steps) + 1, folder, counts.rows, counts.undated, counts.strays,
+                          aside))
+        spark.createDataFrame(
+            steps, "step int, run string, rows long, undated long, strays long, aside long"
+        ).write.parquet(f"{base}/counts")
+    return f"{base}/lake", f"{base}/counts"
+
+
+def _lake_days(spark: SparkSession, folder: str) -> tuple[datetime.date, datetime.date]:
     """First and last arrival day of the lake, from its partition columns."""
-    days = readers.with_load_day(spark.read.parquet(lake))
+    days = readers.with_load_day(spark.read.parquet(folder))
     return tuple(days.agg(F.min("load_day"), F.max("load_day")).first())
 
 
+def shared_inputs() -> dict[str, Callable[[SparkSession, str], object]]:
+    """Stored tables that several queries start from, in the order in which to make them."""
+    dims = {name: lambda spark, sf, name=name: _dim(spark, sf, name)
+            for name in ("dim_countries", "dim_ports", "dim_time", "dim_airports",
+                         "dim_demographics")}
+    return {"lake": _lake, **dims, "fact_immigration": _loaded_fact, "extracts": _extracts}
+
+
 # Scans
 
 
@@ -174,6 +207,92 @@ def day_partition_scan(spark, sf):
     return readers.read_day(spark, _lake(spark, sf), DAY)
 
 
+@_register
+def lake_rewrite(spark, sf):
+    """Rows per folder of a lake that two raw files fill, one of them a second time,
+    corrected: no stale day of it stays, and all of the other's, in shared months too."""
+    folder, _ = _extracts(spark, sf)
+    return readers.read_lake(spark, folder).groupBy("year", "month", "arrival_day").agg(
+        F.count("*").alias("rows"))
+
+
+@_register
+def extract_observed(spark, sf):
+    """What each extract counted on its way, and the undated rows set aside after it."""
+    return spark.read.parquet(_extracts(spark, sf)[1])
+
+
+@_register
+def month_files_scan(spark, sf):
+    """Rows of all monthly raw files, each attributed to its file."""
+    base = new_path(spark, "months")
+    name = F.concat(F.lit("i94_"), F.lower(F.date_format(
+        days.sas_date(F.col("arrdate")), "MMMyy")), F.lit("_sub"))
+    (spark_view(spark, sf, "raw_arrivals").withColumn("file", name).hint("rebalance", "file")
+     .write.partitionBy("file").parquet(f"{base}/written"))
+    months = [f.removeprefix("file=") for f in publish.folders(spark, f"{base}/written", 1)]
+    for month in months:
+        move(spark, f"{base}/written/file={month}", f"{base}/raw/{month}")
+    rows = readers.read_months(spark, f"{base}/raw", months)
+    return rows.groupBy("run").agg(
+        F.count("*").alias("rows"), F.min("arrdate").alias("first"), F.max("arrdate").alias("last"))
+
+
+@_register
+def temps_csv_scan(spark, sf):
+    path = new_path(spark, "temps-csv")
+    spark_view(spark, sf, "city_temps").write.option("header", True).csv(path)
+    return readers.read_temps(spark, path, schemas.CITY_TEMPS)
+
+
+@_register
+def staged_parquet_scan(spark, sf):
+    """A folder of Parquet files, by wildcard."""
+    path = new_path(spark, "demographics")
+    rows = spark_view(spark, sf, "demographics")
+    rows.write.parquet(path)
+    return readers.stage_parquet(spark, f"{path}/*.parquet", rows.schema).select(
+        "City", "Race", F.col("Total Population").alias("total_population"))
+
+
+@_register
+def staged_json_scan(spark, sf):
+    path = new_path(spark, "airports")
+    rows = spark_view(spark, sf, "airports")
+    rows.write.json(path)
+    return readers.stage(spark, path, "json", rows.schema)
+
+
+@_register
+def lookups_scan(spark, sf):
+    """Rows and distinct codes of each lookup, from delimited text."""
+    base, found = new_path(spark, "lookups"), {}
+    for table, view, sep in (
+            ("staging_countries", "lookup_countries", ","), ("staging_ports", "lookup_ports", ";")):
+        spark_view(spark, sf, view).write.option("header", True).option("sep", sep).csv(
+            f"{base}/{table}")
+        found[table] = (f"{base}/{table}", sep)
+    countries, ports = readers.read_lookups(spark, found).values()
+    return countries.agg(
+        F.lit("countries").alias("lookup"), F.count("*").alias("rows"),
+        F.count_distinct("country_code").alias("codes")
+    ).union(ports.agg(F.lit("ports"), F.count("*"), F.count_distinct("port_code")))
+
+
+@_register
+def sorted_extract(spark, sf):
+    """The ordered extract of the latest city temperatures, and the places, within its
+    files and between them, at which it is out of order."""
+    path = new_path(spark, "sorted")
+    writers.write_sorted(_city_temps(spark, sf), path, "City")
+    stored = spark.read.parquet(path)
+    order = ["City", *[c for c in stored.columns if c != "City"]]
+    breaks = quality.unordered(stored, order).agg(F.count("*").alias("breaks"))
+    return stored.agg(
+        F.count("*").alias("rows"), F.min("City").alias("first"), F.max("City").alias("last")
+    ).join(F.broadcast(breaks), F.lit(True))
+
+
 # Projections and functions
 
 
@@ -278,6 +397,16 @@ def fact_arrivals(spark, sf):
     return _fact(spark, sf)
 
 
+@_register
+def fact_arrivals_shuffled(spark, sf):
+    """The star join as it runs when no dimension can be broadcast, hot codes salted."""
+    staging = _staging(spark, sf)
+    codes = settle(dimensions.code_counts(staging), "codes")
+    return facts.observed_fact(
+        staging, _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_ports"), codes,
+        shuffled=True)[0]
+
+
 @_register
 def new_demographics_antijoin(spark, sf):
     first, _ = _batches(spark, sf)
@@ -402,15 +531,7 @@ def fk_orphans(spark, sf):
         ("arrivals.port_code", staging, "port_code",
          spark_view(spark, sf, "lookup_ports"), "port_code"),
     ]
-    blocks = [
-        quality.fk_orphans(child, fk, parent, pk).agg(F.count("*").alias("orphans"))
-        .select(F.lit(name).alias("constraint_name"), "orphans")
-        for name, child, fk, parent, pk in links
-    ]
-    result = blocks[0]
-    for block in blocks[1:]:
-        result = result.union(block)
-    return result
+    return quality.fk_orphan_counts(links)
 
 
 @_register
@@ -457,14 +578,41 @@ def extract_accounting(spark, sf):
 
 @_register
 def fact_ids(spark, sf):
-    """Ids of the fact: how many rows, distinct ids and NULLs."""
-    numbered = facts.batch_fact(
-        _staging(spark, sf), _dim(spark, sf, "dim_countries"), _dim(spark, sf, "dim_ports"))
-    return numbered.agg(
+    """Ids of the loaded fact: how many rows, distinct ids and NULLs."""
+    return _loaded_fact(spark, sf).agg(
         F.count("*").alias("fact_rows"), F.count_distinct("immigration_id").alias("ids"),
         F.count_if(F.col("immigration_id").isNull()).alias("nulls"))
 
 
+@_register
+def user_checks(spark, sf):
+    """Checks given as data, over the loaded tables: which of them hold."""
+    tables = {"fact_immigration": _loaded_fact(spark, sf),
+              "dim_ports": _dim(spark, sf, "dim_ports"),
+              "dim_time": _dim(spark, sf, "dim_time")}
+    asked = [
+        {"name": "loaded", "sql": "SELECT count(*) FROM {fact_immigration} WHERE load_day = :day",
+         "expect": "not_zero"},
+        {"name": "no age", "sql": "SELECT count(*) FROM {fact_immigration} WHERE age IS NULL",
+         "expect": "zero"},
+        {"name": "age", "sql": "SELECT max(age) FROM {fact_immigration}", "expect": "between",
+         "values": [19, 68]},
+        {"name": "few ports", "sql": "SELECT count(*) FROM {dim_ports}", "expect": "at_most",
+         "values": [3]},
+        {"name": "calendar", "sql": "SELECT bool_and(month <= :months) FROM {dim_time}",
+         "expect": "true", "parameters": {"months": 12}},
+    ]
+
+    def holds(check: dict) -> bool:
+        try:
+            quality.check_sql(spark, check, tables, day=DAY)
+        except quality.DataQualityError:
+            return False
+        return True
+
+    return spark.createDataFrame([(c["name"], holds(c)) for c in asked], "name string, held boolean")
+
+
 # Jobs
 
 
@@ -472,7 +620,18 @@ def fact_ids(spark, sf):
 def load_day_counts(spark, sf):
     """The range load of all days, from lake to warehouse tables, then the rows
     staged and loaded per batch day."""
-    database = "landfall_check"
+    cfg = _warehouse(spark, sf, "landfall_check")
+    first, last = _lake_days(spark, cfg.lake)
+    jobs.load_range(spark, cfg, first, last, allow_empty_days=True)
+    tables = warehouse.tables_of(spark, cfg.database)
+    codes = dimensions.code_counts(readers.read_days(spark, cfg.lake, first, last))
+    return quality.reconciliation(
+        codes, tables["dim_countries"], tables["dim_ports"], tables["fact_immigration"],
+        tables["dim_time"])
+
+
+def _warehouse(spark: SparkSession, sf: str, database: str) -> jobs.JobConfig:
+    """A warehouse as after setup, over the whole lake."""
     cfg = jobs.JobConfig(database=database, lake=_lake(spark, sf),
                          warehouse_location=new_path(spark, "warehouse"))
     spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
@@ -485,13 +644,41 @@ def load_day_counts(spark, sf):
         _city_temps(spark, sf), cfg.table("staging_city_temperatures"), truncate=True)
     writers.write_staging(
         _country_temps(spark, sf), cfg.table("staging_country_temperatures"), truncate=True)
-    first, last = _lake_days(spark, cfg.lake)
-    jobs.load_range(spark, cfg, first, last, allow_empty_days=True)
-    tables = warehouse.tables_of(spark, database)
-    codes = dimensions.code_counts(readers.read_days(spark, cfg.lake, first, last))
-    return quality.reconciliation(
-        codes, tables["dim_countries"], tables["dim_ports"], tables["fact_immigration"],
-        tables["dim_time"])
+    return cfg
+
+
+def _loaded_twice(spark, cfg, load) -> DataFrame:
+    """What the second of two equal loads counted, with the rows and ids it left, per table
+    state the same as after the first."""
+    def state() -> tuple:
+        t = warehouse.tables_of(spark, cfg.database)
+        fact = t["fact_immigration"].agg(F.count("*"), F.count_distinct("immigration_id")).first()
+        return (*fact, t["dim_ports"].count(), t["dim_countries"].count(), t["dim_time"].count())
+
+    load()
+    before = state()
+    counts, after = load(), state()
+    return spark.createDataFrame(
+        [(counts.arrivals, counts.no_country, counts.no_port, counts.loaded, after[0], after[1],
+          before == after)],
+        "arrivals long, no_country long, no_port long, loaded long, fact_rows long, ids long, "
+        "unchanged boolean")
+
+
+@_register
+def load_day_rerun(spark, sf):
+    """One day loaded twice: written aside, audited, published by partition."""
+    cfg = _warehouse(spark, sf, "landfall_day")
+    return _loaded_twice(spark, cfg, lambda: jobs.load_day(spark, cfg, DAY))
+
+
+@_register
+def range_rerun(spark, sf):
+    """A month loaded twice as one batch."""
+    cfg = _warehouse(spark, sf, "landfall_range")
+    first, last = datetime.date(YEAR, MONTH, 1), datetime.date(YEAR, MONTH, 31)
+    return _loaded_twice(
+        spark, cfg, lambda: jobs.load_range(spark, cfg, first, last, allow_empty_days=True))
 
 
 # Reports
