@@ -22,6 +22,8 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        # Small inputs still use all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4k")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():

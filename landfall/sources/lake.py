@@ -81,7 +81,7 @@ def stage(clean: DataFrame, path: str, runs: Iterable[str] = (DEFAULT_RUN,),
     name = publish.staged_name()
     (observed
      .select(*[c for c in schemas.CLEAN_ARRIVALS.fieldNames() if c not in parts], RUN, *parts)
-     .write.partitionBy(*parts).parquet(f"{path}/{name}"))
+     .write.options(**publish.COMMIT).partitionBy(*parts).parquet(f"{path}/{name}"))
     found = seen.get
     months = frozenset((m[RUN], m["year"], m["month"]) for m in found["months"])
     return StagedLake(path, name, runs, LakeCounts(
@@ -176,7 +176,7 @@ def _keep(spark: SparkSession, staged: StagedLake, months: list[str], new: list[
     parts = schemas.LAKE_PARTITIONS
     (rows.hint("rebalance", *parts)
      .select(*[c for c in schemas.CLEAN_ARRIVALS.fieldNames() if c not in parts], RUN, *parts)
-     .write.mode("append").partitionBy(*parts)
+     .write.mode("append").options(**publish.COMMIT).partitionBy(*parts)
      .parquet(f"{staged.folder}/{staged.below}".rstrip("/")))
 
 

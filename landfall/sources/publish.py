@@ -19,6 +19,10 @@ from pyspark.sql import SparkSession
 
 from landfall import session
 
+#: Writer options for a staged folder: tasks move their files into it themselves, as nobody
+#: reads it before it is published. A task tried again overwrites its files by their names.
+COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2",
+          "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 _NOTES = "_notes"
 #: Renames in flight at once.
 _THREADS = 16

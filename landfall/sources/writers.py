@@ -61,7 +61,7 @@ def stage_batch(df: DataFrame, table: str) -> StagedBatch:
     keys = [f.name for f in spark.catalog.listColumns(table) if f.isPartition]
     columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target]
     name = publish.staged_name()
-    df.select(*columns).write.partitionBy(*keys).parquet(f"{root}/{name}")
+    df.select(*columns).write.options(**publish.COMMIT).partitionBy(*keys).parquet(f"{root}/{name}")
     return StagedBatch(table, root, name, spark.read.schema(target).parquet(f"{root}/{name}"))
 
 
