@@ -8,10 +8,14 @@ factor of ten a letter: splits depend on the shares of the words, not on how man
 there are. Parts that together spell a seed are joined again, so a seed is never split.
 
 Multinomial naive Bayes over the segmented words of host and path, each as often as it
-occurs, is trained on all pages: those with a word of BLOCK_SEEDS are the blocked class.
-Words that keep company with seeds thus count against a page. Null urls or urls without
-`://` have no host or path, no words, and are allowed. A page is judged by its url alone;
-pages of one url share the verdict.
+occurs, is trained on all pages. What blocks a word is its company: a use of it counts as
+bad if the url holds a word of BLOCK_SEEDS other than it, and as good if the url holds no
+seed. A seed that labels a url alone is left out there, so no seed is evidence for itself;
+pages are blocked without a seed, and freed with one, by the words around.
+
+Null urls or urls without `://` have no host or path, no words, and are allowed, as is a
+score of 0. A page is judged by its url alone; pages of one url share the verdict. Page
+words of more than MAX_WORD letters are not counted, and a longer part of a name is cut.
 """
 
 from __future__ import annotations
@@ -154,12 +158,15 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     words = settle(uses.join(split, "token").select(
         "host", "path", "pages", F.explode("words").alias("word")
     ).groupBy("host", "path", "pages", "word").agg(F.count("*").alias("times")), "words")
-    seeded = F.max(F.col("word").isin(*BLOCK_SEEDS).cast("int"))
-    labelled = words.join(
-        words.groupBy("host", "path").agg(seeded.alias("bad")), ["host", "path"])
+    seed = F.col("word").isin(*BLOCK_SEEDS).cast("int")
+    # Seeds other than the word; a url has a row for each of its distinct words.
+    others = F.col("seeds") - seed
+    labelled = words.join(words.groupBy("host", "path").agg(F.sum(seed).alias("seeds")),
+                          ["host", "path"]).withColumns({
+        "bad": (others > 0).cast("int"), "good": (F.col("seeds") == 0).cast("int")})
     counts = settle(labelled.groupBy("word").agg(
         F.sum(F.col("pages") * F.col("times") * F.col("bad")).alias("bad"),
-        F.sum(F.col("pages") * F.col("times") * (1 - F.col("bad"))).alias("good")), "counts")
+        F.sum(F.col("pages") * F.col("times") * F.col("good")).alias("good")), "counts")
     sums = counts.agg(F.count("*"), F.sum("bad"), F.sum("good")).first()
     kinds, bad, good = sums[0], float(sums[1] or 0), float(sums[2] or 0)
     weight = F.log((F.col("bad") + 1) / (bad + kinds)) - F.log(
