@@ -9,7 +9,8 @@ of pieces, whose size the vocabulary fixes.
 
 Words travel many to a row, in sorted order, so the shuffles stay well below the texts'
 size. The blocks' texts and the ids for their words are sorted together and read as a
-stream: a task holds one block's distinct words and one pack of texts.
+stream: a task holds one block's distinct words and one pack of texts. There are as many
+buckets as the bytes of the texts ask for, at least four a task of the session.
 
 Null and empty texts have no ids. Rows are encoded one for one; rows that share an id stay
 apart; rows without an id are spread by their text.
@@ -24,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from landfall.llm.blocks import (
-    blocked, ddl, packs, read_pack, squeezed, unsqueezed)
+    blocked, ddl, dealt, packs, read_pack, squeezed, unsqueezed)
 from landfall.llm.text import map_rows, to_bytes
 
 #: Distinct words that a task gathers before it sends them on.
@@ -60,7 +61,7 @@ def _questions(docs: DataFrame, buckets: int) -> DataFrame:
     return map_rows(docs, "bucket int, block long, words binary", rows)
 
 
-def _answers(questions: DataFrame, tokenizer: str) -> DataFrame:
+def _answers(questions: DataFrame, tokenizer: str, tasks: int) -> DataFrame:
     """(block, words, ids): the ids of the words, each distinct word encoded once."""
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
@@ -92,8 +93,8 @@ def _answers(questions: DataFrame, tokenizer: str) -> DataFrame:
         if asked:
             yield from told()
 
-    dealt = questions.repartition("bucket").sortWithinPartitions("bucket")
-    return map_rows(dealt, "block long, words binary, lengths binary, ids binary", rows)
+    return map_rows(dealt(questions, tasks, "bucket"),
+                    "block long, words binary, lengths binary, ids binary", rows)
 
 
 def _pack_numbers(values: np.ndarray) -> bytes:
@@ -123,15 +124,14 @@ def load(tokenizer: str):
 def encode(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """`keep` and ids, as little-endian unsigned 32-bit integers, for each row of docs."""
     tokenizer = open(path, encoding="utf-8").read()
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocked(docs, keep)
+    blocks, tasks = blocked(docs, keep)
     none = F.lit(None).cast("binary")
-    told = _answers(_questions(blocks, buckets), tokenizer).select(
+    told = _answers(_questions(blocks, 4 * tasks), tokenizer, tasks).select(
         "block", F.lit(0).alias("kind"), "words", "lengths", "ids", none.alias("pack"))
     texts = packs(blocks).select(
         "block", F.lit(1).alias("kind"), none.alias("words"), none.alias("lengths"),
         none.alias("ids"), "pack")
-    met = told.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
+    met = dealt(told.unionByName(texts), tasks, "block", "kind")
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
         block, table = None, {}

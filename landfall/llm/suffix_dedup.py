@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from landfall.llm.blocks import (
-    blocked, ddl, packs, read_pack, squeezed, unsqueezed)
+    blocked, ddl, dealt, packs, read_pack, squeezed, unsqueezed)
 from landfall.llm.suffix_array import suffix_array
 from landfall.llm.text import map_rows, mix, to_bytes
 
@@ -113,7 +113,7 @@ def _hashed(blocks: DataFrame, length: int) -> DataFrame:
     return map_rows(blocks, "block long, hashes binary, counts binary", rows)
 
 
-def _asked(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
+def _asked(blocks: DataFrame, length: int, buckets: int, tasks: int) -> DataFrame:
     """(bucket, block, prints, counts): fingerprints of a block's anchors, and how many.
 
     The hashes of a block are gathered first. If its documents are scattered over many
@@ -148,11 +148,11 @@ def _asked(blocks: DataFrame, length: int, buckets: int) -> DataFrame:
         if hashes:
             yield from sent()
 
-    dealt = _hashed(blocks, length).repartition("block").sortWithinPartitions("block")
-    return map_rows(dealt, "bucket int, block long, prints binary, counts binary", rows)
+    return map_rows(dealt(_hashed(blocks, length), tasks, "block"),
+                    "bucket int, block long, prints binary, counts binary", rows)
 
 
-def _repeated(asked: DataFrame) -> DataFrame:
+def _repeated(asked: DataFrame, tasks: int) -> DataFrame:
     """(block, bucket, prints, powers): repeated fingerprints of the block, log2 of how many."""
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
@@ -181,8 +181,8 @@ def _repeated(asked: DataFrame) -> DataFrame:
         if held:
             yield from told(bucket)
 
-    dealt = asked.repartition("bucket").sortWithinPartitions("bucket")
-    return map_rows(dealt, "block long, bucket int, prints binary, powers binary", rows)
+    return map_rows(dealt(asked, tasks, "bucket"),
+                    "block long, bucket int, prints binary, powers binary", rows)
 
 
 # What goes to the buckets: regions (kind 0) or the repeats found so far (kind 1).
@@ -386,7 +386,8 @@ def repeated_windows(regions: list[tuple], length: int) -> np.ndarray:
     return repeats
 
 
-def _resolved(sent: DataFrame, length: int, buckets: int, final: bool) -> DataFrame:
+def _resolved(sent: DataFrame, length: int, buckets: int, tasks: int,
+              final: bool) -> DataFrame:
     """Regions of each bucket judged; what is known already passes through."""
     reach = length - K
 
@@ -444,13 +445,13 @@ def _resolved(sent: DataFrame, length: int, buckets: int, final: bool) -> DataFr
                 if final or lots == 1:
                     continue
                 left = r[5] - r[4] + reach
-                dealt: dict[int, int] = {}
+                by_lot: dict[int, int] = {}
                 for w in range(left, left + len(r[6]) - length + 1):
                     if not again[w]:
                         window = r[6][w - left:w - left + length]
                         lot = hash_bytes(window) % lots
-                        dealt[lot] = dealt.get(lot, 0) | 1 << w
-                for lot, windows in dealt.items():
+                        by_lot[lot] = by_lot.get(lot, 0) | 1 << w
+                for lot, windows in by_lot.items():
                     region = (*r[:8], windows)
                     out.region(_home(region, buckets, lot + 1), region)
 
@@ -467,8 +468,7 @@ def _resolved(sent: DataFrame, length: int, buckets: int, final: bool) -> DataFr
         if held:
             yield from judged()
 
-    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
-    return map_rows(dealt, _SENT, rows)
+    return map_rows(dealt(sent, tasks, "bucket"), _SENT, rows)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, keep: Sequence[str] = ("doc_id",),
@@ -479,22 +479,21 @@ def remove_repeats(docs: DataFrame, length: int = 100, keep: Sequence[str] = ("d
     """
     if length < K + 8:
         raise ValueError(f"strings of at least {K + 8} bytes")
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocked(docs, keep)
+    blocks, tasks = blocked(docs, keep)
+    buckets = 4 * tasks
     none = F.lit(None).cast("binary")
-    known = _repeated(_asked(blocks, length, buckets)).select(
+    known = _repeated(_asked(blocks, length, buckets, tasks), tasks).select(
         "block", F.lit(0).alias("kind"), "bucket", "prints", "powers", none.alias("pack"))
     texts = packs(blocks)
-    met = known.unionByName(texts.select(
+    met = dealt(known.unionByName(texts.select(
         "block", F.lit(1).alias("kind"), F.lit(0).alias("bucket"), none.alias("prints"),
-        none.alias("powers"), "pack")).repartition("block").sortWithinPartitions("block", "kind")
+        none.alias("powers"), "pack")), tasks, "block", "kind")
     sent = _regions(met, length, buckets)
-    once = _resolved(sent, length, buckets, final=False)
-    spans = _resolved(once, length, buckets, final=True).select(
+    once = _resolved(sent, length, buckets, tasks, final=False)
+    spans = _resolved(once, length, buckets, tasks, final=True).select(
         "block", F.lit(0).alias("kind"), "data")
-    back = spans.unionByName(texts.select(
-        "block", F.lit(1).alias("kind"), F.col("pack").alias("data"))
-    ).repartition("block").sortWithinPartitions("block", "kind")
+    back = dealt(spans.unionByName(texts.select(
+        "block", F.lit(1).alias("kind"), F.col("pack").alias("data"))), tasks, "block", "kind")
 
     def rows(records: Iterator[dict]) -> Iterator[tuple]:
         block, parts, found = None, [], {}

@@ -12,7 +12,7 @@ from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
 from landfall.llm import (
-    bpe, decontaminate, minhash, quality_bayes, quality_rules, sharding, suffix_dedup,
+    blocks, bpe, decontaminate, minhash, quality_bayes, quality_rules, sharding, suffix_dedup,
     token_counts, toxicity, url_filter)
 from landfall.llm.components import union_find
 from landfall.llm.stats import statistics
@@ -96,6 +96,30 @@ def test_suffix_dedup(spark, docs, rows, nothing, monkeypatch, hot):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("many", [[1] * 30, [None] * 30, list(range(30))])
+def test_large_blocks_are_cut(spark, monkeypatch, many):
+    """Rows of one id, of none, and neighbours: more than a block and a task may hold."""
+    monkeypatch.setattr(blocks, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(blocks, "TASK_BYTES", 2000)
+    draw = random.Random(4)
+    rows = [(i, words(draw.randrange(5, 60), k % 9) + f" {k % 12}") for k, i in enumerate(many)]
+    rows += [(50, words(3000, 7)), (51, words(900, 7)), (52, "x" * 5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cut, tasks = blocks.blocked(df, ["doc_id"])
+    assert tasks > 8 and cut.select("block").distinct().count() > 3
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 6000)
+    got = sorted((r.n_bytes, r.n_bytes - len(r.rest), len(r.begins),
+                  hashlib.sha256(r.rest).hexdigest())
+                 for r in suffix_dedup.remove_repeats(df).collect())
+    # Rows alike in id and text are one document written several times.
+    twins = Counter(rows)
+    found = dict(zip(once := _sorted(twins), repeats([t for _, t in once]), strict=True))
+    assert got == sorted(found[r] for r in rows)
+    tokenizer = bpe.load(open(PATH, encoding="utf-8").read())
+    ids = sorted(np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode(df, PATH).collect())
+    assert ids == sorted(tokenizer.encode(t, add_special_tokens=False).ids for _, t in rows)
+
+
 def test_a_row_written_twice_repeats_nothing(spark):
     df = spark.createDataFrame([(1, words(90, 8))] * 2, "doc_id long, text string")
     assert [r.begins for r in suffix_dedup.remove_repeats(df).collect()] == [[], []]
@@ -321,14 +345,28 @@ def test_a_word_counts_as_often_as_a_url_has_it(spark):
         [(i, u, "<title>good org free news</title>") for i, u in enumerate(urls)],
         "page_id long, url string, html string")
     bags = [Counter(re.findall("[a-z]+", u.split("://")[1])) for u in urls]
-    bad, good = bags[0], sum(bags[1:], Counter())
-    kinds, n_bad, n_good = len(bad + good), bad.total(), good.total()
+    # The only seed of a url is no evidence for itself, but a word of the table all the same.
+    bad, good = Counter(bags[0]), sum(bags[1:], Counter())
+    bad["casino"] = 0
+    kinds, n_bad, n_good = len(bad | good | bags[0]), bad.total(), good.total()
     for r in url_filter.judge(pages, ()).collect():
         assert r.score == pytest.approx(np.log((n_bad + 1) / (n_good + 1)) + sum(
             n * np.log((bad[w] + 1) / (n_bad + kinds) * (n_good + kinds) / (good[w] + 1))
             for w, n in bags[r.page_id].items()))
 
 
+def test_company_blocks_and_frees_pages(spark):
+    urls = (["http://a.org/casino/lucky/winnings"] * 3 + ["http://b.org/poker/lucky/winnings"] * 3
+            + ["http://c.org/news/garden/recipes"] * 20 + ["http://d.org/lucky/winnings"]
+            + ["http://c.org/news/garden/recipes/track"])
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)],
+                                  "page_id long, url string, html string")
+    got = [r.verdict for r in url_filter.judge(pages, ()).orderBy("page_id").collect()]
+    assert got[:6] == ["block"] * 6 and set(got[6:26]) == {"allow"}
+    # No seed, but their company; a seed in company that is known to be good.
+    assert got[26:] == ["block", "allow"]
+
+
 def test_names_are_split_by_words_of_the_whole_page(spark):
     html = ("<html><title>A Title</title><style>p{color:red}</style><!-- note --><script>var "
             "x='<p>';</script><body class=big><p>Winner&nbsp;news <b>News</b></p><br></body>")
