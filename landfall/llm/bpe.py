@@ -29,7 +29,7 @@ from landfall.llm.blocks import (
 from landfall.llm.text import map_rows, to_bytes
 
 #: Distinct words that a task gathers before it sends them on.
-WORDS_HELD = 500_000
+WORDS_HELD = 250_000
 
 
 def _questions(docs: DataFrame, buckets: int) -> DataFrame:

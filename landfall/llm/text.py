@@ -7,6 +7,7 @@ A word is a maximal run of characters that are no ASCII white space,
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -121,6 +122,7 @@ def _weight(value: object) -> int:
 def _release() -> None:
     """Give back what a task has freed: the worker lives on and takes tasks of other
     stages, which count together with it against the executor's memory."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
