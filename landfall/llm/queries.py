@@ -25,7 +25,7 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
-    return quality_rules.judge(docs, quality_rules.fit(docs, labels))
+    return quality_rules.fit_and_judge(docs, labels)
 
 
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
