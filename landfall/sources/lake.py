@@ -1,4 +1,4 @@
-"""Writes to the lake: staged in one pass, counted on the way, published by folder.
+"""Writes to the lake: staged in one pass, counted where they are staged, published by folder.
 
 A row carries the run that wrote it (the raw file it came from) in a column that readers
 of the lake pass over. What a run writes again replaces exactly the months it wrote before
@@ -14,7 +14,7 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from landfall import schemas, session
 from landfall.sources import publish
@@ -29,7 +29,7 @@ LEVELS = {"month": 2, "day": 3}
 
 @dataclass(frozen=True)
 class LakeCounts:
-    """What a staged write saw: all rows, those of no existing day, those whose folder is
+    """What a staged write holds: all rows, those of no existing day, those whose folder is
     another day than their arrival, and the (run, year, month) that have rows."""
 
     rows: int
@@ -72,20 +72,25 @@ def stage(clean: DataFrame, path: str, runs: Iterable[str] = (DEFAULT_RUN,),
                          else clean.withColumn(RUN, F.lit(runs[0])))
     parts = (["dated"] if apart else []) + [*schemas.LAKE_PARTITIONS]
     dealt = rows.withColumn("dated", F.col("load_day").isNotNull()).hint("rebalance", *parts)
-    dated, seen = F.col("dated"), Observation()
-    # After the shuffle: a task of the write counts once, also when it is tried again.
-    observed = dealt.observe(
-        seen, F.count("*").alias("rows"), F.count_if(~dated).alias("undated"),
-        F.count_if(dated & ~F.col("load_day").eqNullSafe(F.col("arrival_date"))).alias("strays"),
-        F.collect_set(F.struct(RUN, "year", "month")).alias("months"))
     name = publish.staged_name()
-    (observed
-     .select(*[c for c in schemas.CLEAN_ARRIVALS.fieldNames() if c not in parts], RUN, *parts)
+    (dealt.select(*[c for c in schemas.CLEAN_ARRIVALS.fieldNames() if c not in parts], RUN, *parts)
      .write.options(**publish.COMMIT).partitionBy(*parts).parquet(f"{path}/{name}"))
-    found = seen.get
-    months = frozenset((m[RUN], m["year"], m["month"]) for m in found["months"])
-    return StagedLake(path, name, runs, LakeCounts(
-        found["rows"], found["undated"], found["strays"], months), apart)
+    return StagedLake(path, name, runs, _counts(spark, f"{path}/{name}"), apart)
+
+
+def _counts(spark: SparkSession, folder: str) -> LakeCounts:
+    """The counts of a staged folder, from the run, the arrival and the folder names of its
+    rows. Observed by the write they would cost each row more than its sort does."""
+    # A write of no rows may leave no folder.
+    if not session.exists(spark, folder):
+        return LakeCounts(0, 0, 0, frozenset())
+    rows, dated = with_load_day(_rows(spark, [folder], folder)), F.col("load_day").isNotNull()
+    found = rows.groupBy(RUN, "year", "month").agg(
+        F.count("*").alias("rows"), F.count_if(~dated).alias("undated"),
+        F.count_if(dated & ~F.col("load_day").eqNullSafe(F.col("arrival_date"))).alias("strays"),
+    ).collect()
+    return LakeCounts(*[sum(m[c] for m in found) for c in ("rows", "undated", "strays")],
+                      frozenset((m[RUN], m["year"], m["month"]) for m in found))
 
 
 def discard(spark: SparkSession, staged: StagedLake) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from landfall import schemas
 from landfall.functions import days
+from landfall.operators.clean import clean_arrivals
 from landfall.session import new_path, scratch, settle, shared_folder
 from landfall.sources import lake as lakes, readers, writers
 
@@ -335,3 +336,25 @@ def test_scratch_deletes_what_was_settled_inside(spark):
 
 def test_paths_are_never_reused(spark):
     assert len({new_path(spark, "x") for _ in range(100)}) == 100
+
+
+def test_staged_rows_are_counted_without_a_look_at_each(spark, path, monkeypatch):
+    """Two runs, a day that does not exist, one that is missing, and a stray."""
+    def refuse(*_):
+        raise AssertionError("observed row by row")
+
+    monkeypatch.setattr(type(spark.range(1)), "observe", refuse)
+    filed = clean_arrivals(raw(spark, D(2016, 1, 1), D(2016, 1, 1), D(2016, 2, 3), D(2016, 2, 4)))
+    january = F.col("month") == 1
+    filed = filed.withColumn("run", F.when(january, "jan").otherwise("feb"))
+    rows_ = (
+        filed.withColumn("arrival_day", F.when(F.col("arrival_day") == 4, 30)
+                         .otherwise(F.col("arrival_day")))
+        .unionByName(filed.where(january).withColumn("arrival_day", F.lit(9)))
+        .unionByName(filed.where("arrival_day = 3").withColumn("month", F.lit(None).cast("int"))))
+    for apart in (False, True):
+        staged = lakes.stage(rows_, path(f"lake{apart}"), ["jan", "feb"], apart)
+        assert staged.counts == lakes.LakeCounts(7, 2, 2, frozenset(
+            {("jan", 2016, 1), ("feb", 2016, 2), ("feb", 2016, None)}))
+    none = lakes.stage(rows_.where("false"), path("none"))
+    assert none.counts == lakes.LakeCounts(0, 0, 0, frozenset())
