@@ -159,11 +159,13 @@ def build_demographics(ports: DataFrame, demographics: DataFrame, staging: DataF
 def distinct_days(staging: DataFrame) -> DataFrame:
     """Arrival and departure day numbers; only a NULL departure is left out.
 
-    Both columns come from one scan, and each task drops repeats before the shuffle.
+    Both columns come from one scan, and each task drops repeated pairs before the shuffle;
+    only the pairs are split into days, not the rows.
     """
     arrived, left = F.col("arrdate"), F.col("depdate")
     pair = F.when(left.isNull(), F.array(arrived)).otherwise(F.array(arrived, left))
-    return staging.select(F.explode(pair).alias("day")).distinct()
+    pairs = staging.select(arrived, left).distinct()
+    return pairs.select(F.explode(pair).alias("day")).distinct()
 
 
 def build_time(staging: DataFrame, existing: DataFrame | None = None,

@@ -195,6 +195,12 @@ def test_days_come_from_one_scan(star):
     assert nodes(dimensions.distinct_days(star["staging"]), "parquet") == 1
 
 
+def test_days_are_split_after_their_pairs_are_distinct(star):
+    """The tree is printed from the root: below the Generate stands an aggregate."""
+    tree = plan(dimensions.distinct_days(star["staging"])).split("\n\n")[0]
+    assert "Generate" in tree and "HashAggregate" in tree.split("Generate", 1)[1]
+
+
 def test_reports_combine_before_the_shuffle(star):
     fact = batch_fact(star["staging"], star["countries"], star["ports"])
     df = reports.top_countries(fact, star["countries"], star["time"], 1996, 12)
